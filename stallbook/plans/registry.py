@@ -19,7 +19,7 @@ from ..operators.sales import (
 )
 from ..session import prepare
 from ..sources import StarRetail, recent_documents
-from ..sources.star import STAGES
+from ..sources.star import STAGES, STAR_SCHEMAS
 from ..streaming import (
     daily_funnel,
     dedup_events,
@@ -106,8 +106,7 @@ def nps_classes(star: StarRetail) -> DataFrame:
 
 def event_stream(star: StarRetail) -> DataFrame:
     """The events table as a file stream; the pattern also matches a folder of part files."""
-    schema = star.raw("events").schema
-    return star.spark.readStream.schema(schema).parquet(f"{star.folder}/event[s].parquet")
+    return star.spark.readStream.schema(STAR_SCHEMAS["events"]).parquet(f"{star.folder}/event[s].parquet")
 
 
 # --- sales fact ----------------------------------------------------------------------

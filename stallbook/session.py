@@ -20,9 +20,11 @@ DEFAULTS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a running session."""
-    for key, value in DEFAULTS.items():
-        spark.conf.set(key, value)
+    """Apply the settings to a running session, once."""
+    if not getattr(spark, "_stallbook_ready", False):
+        for key, value in DEFAULTS.items():
+            spark.conf.set(key, value)
+        spark._stallbook_ready = True
     return spark
 
 
