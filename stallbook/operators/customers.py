@@ -48,10 +48,24 @@ def member_summary(sales: DataFrame, users: DataFrame) -> DataFrame:
     return levels.withColumn("avg_spent_per_user", ratio("total_spent", "total_customers"))
 
 
+def _ended(per_user: DataFrame, last: str, as_of: Column | None) -> tuple[DataFrame, Column]:
+    """The user table and the day its period ends.
+
+    The newest purchase is only known after all users are; the user table is
+    then staged (one job), so that the sales are not read a second time for it.
+    """
+    if as_of is not None:
+        return per_user, as_of
+    staged = stage(per_user, "users")
+    return staged, staged.agg(F.max(last)).scalar()
+
+
 def rfm_features(sales: DataFrame, as_of: Column | None = None, count_lines: bool = False) -> DataFrame:
-    """Days since the last purchase, orders (or sales rows) and spend per user."""
-    users = sums_by_user(sales)
-    today = users.agg(F.max("last_purchase")).scalar() if as_of is None else as_of
+    """Days since the last purchase, orders (or sales rows) and spend per user.
+
+    Without ``as_of`` the newest purchase ends the period, see ``_ended``.
+    """
+    users, today = _ended(sums_by_user(sales), "last_purchase", as_of)
     return users.select(
         "user_id",
         F.datediff(today, "last_purchase").alias("recency"),
@@ -167,8 +181,7 @@ def clv(
     as_of: Column | None = None,
 ) -> DataFrame:
     """Projected lifetime value and tier per user."""
-    bought = sums_by_user(sales)
-    today = bought.agg(F.max("last_purchase")).scalar() if as_of is None else as_of
+    bought, today = _ended(sums_by_user(sales), "last_purchase", as_of)
     named = users.select("user_id", F.col("name").alias("user_name"), "city", "member_level", "signup_date")
 
     months_known = F.greatest(F.col("customer_age_days") / F.lit(30.0), F.lit(1.0))
@@ -209,8 +222,9 @@ def churn_risk(
     Users without a purchase are labelled first and then get three thresholds
     as their number of days.
     """
-    last = sales.groupBy("user_id").agg(F.max("order_date").alias("last_order_date"))
-    today = last.agg(F.max("last_order_date")).scalar() if as_of is None else as_of
+    last, today = _ended(
+        sales.groupBy("user_id").agg(F.max("order_date").alias("last_order_date")), "last_order_date", as_of
+    )
     days = F.datediff(today, "last_order_date")
     known = users.join(last, "user_id", "left").withColumn("days_since_last", days)
     since = F.col("days_since_last")
@@ -330,7 +344,7 @@ def nps_segments(users: DataFrame) -> DataFrame:
         F.count("user_id").alias("user_count"), F.sum("total_spent").alias("total_revenue")
     )
     return classes.withColumn(
-        "nps_contribution", half_up(share_of_total(classes, "total_revenue") * F.lit(100.0), 1)
+        "nps_contribution", half_up(share_of_total("total_revenue") * F.lit(100.0), 1)
     )
 
 
@@ -362,31 +376,30 @@ def inactivity_histogram(
     Bins are closed on the right and the minimum belongs to the first; one
     single value widens the range by a thousandth on both sides.
     """
-    kept = churn.filter(F.col("churn_risk").isin(*labels)).select(
-        F.coalesce(F.col(value), F.lit(0)).cast("double").alias("x")
+    days = (
+        churn.filter(F.col("churn_risk").isin(*labels))
+        .groupBy(F.coalesce(F.col(value), F.lit(0)).cast("double").alias("x"))
+        .agg(F.count(F.lit(1)).alias("users"))
     )
-    limits = kept.agg(F.min("x").alias("low"), F.max("x").alias("high")).filter(F.col("low").isNotNull())
-    pad = F.when(F.col("low") == 0, F.lit(0.001)).otherwise(F.abs("low") * F.lit(0.001))
-    flat = F.col("low") == F.col("high")
-    edges = limits.select(
-        F.when(flat, F.col("low") - pad).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + pad).otherwise(F.col("high")).alias("high"),
+    # From here on there is one row per distinct number of days, then per bin.
+    everything = Window.partitionBy()
+    spread = days.select("x", "users", F.min("x").over(everything).alias("min"), F.max("x").over(everything).alias("max"))
+    pad = F.when(F.col("min") != F.col("max"), F.lit(0.0)).otherwise(
+        F.when(F.col("min") == 0, F.lit(0.001)).otherwise(F.abs("min") * F.lit(0.001))
     )
-    # one row of limits, as two scalar subqueries
-    low = edges.select("low").scalar()
-    high = edges.select("high").scalar()
-    at = F.ceil((F.col("x") - low) * F.lit(bins) / (high - low)).cast("bigint")
-    filled = kept.select(F.greatest(at, F.lit(1)).alias("bin")).groupBy("bin").agg(
-        F.count(F.lit(1)).alias("users")
+    edged = spread.select("x", "users", (F.col("min") - pad).alias("low"), (F.col("max") + pad).alias("high"))
+    at = F.ceil((F.col("x") - F.col("low")) * F.lit(bins) / (F.col("high") - F.col("low"))).cast("bigint")
+    filled = edged.groupBy("low", "high", F.greatest(at, F.lit(1)).alias("bin")).agg(F.sum("users").alias("users"))
+    counts = filled.groupBy("low", "high").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "users"))).alias("users")
     )
     numbers = F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))
-    grid = edges.select("low", "high", F.explode(numbers).alias("bin"))
     step = (F.col("high") - F.col("low")) / F.lit(float(bins))
-    return grid.join(filled, "bin", "left").select(
+    return counts.select("*", F.explode(numbers).alias("bin")).select(
         "bin",
         (F.col("low") + (F.col("bin") - 1) * step).alias("over"),
         (F.col("low") + F.col("bin") * step).alias("up_to"),
-        F.coalesce("users", F.lit(0)).alias("user_count"),
+        F.coalesce(F.try_element_at("users", "bin"), F.lit(0)).alias("user_count"),
     )
 
 

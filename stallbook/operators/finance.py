@@ -170,5 +170,5 @@ def payment_mix(sales: DataFrame) -> DataFrame:
         "total_revenue",
         half_up(ratio("total_revenue", "lines"), 2).alias("avg_line_value"),
         "unique_users",
-        (half_up(share_of_total(methods, "total_revenue"), 2) * F.lit(100.0)).alias("revenue_share_pct"),
+        (half_up(share_of_total("total_revenue"), 2) * F.lit(100.0)).alias("revenue_share_pct"),
     )

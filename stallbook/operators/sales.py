@@ -10,33 +10,28 @@ from pyspark.sql import functions as F
 from ..functions import iso_week, money, month_key, ratio, sum_money
 
 
-def build_sales(
+def build_lines(
     items: DataFrame,
     orders: DataFrame,
-    products: DataFrame,
     *,
     completed: str = "Completed",
     amount: Column | None = None,
 ) -> DataFrame:
-    """One row per line of a completed order, with product attributes, revenue, cost and profit.
+    """One row per line of a completed order, without product attributes.
+
+    Enough for every table about users, orders or product numbers, and one
+    shuffle of all lines cheaper than the full fact. It gives the same rows as
+    ``build_sales`` when each line references an existing product, which the
+    source's foreign key guarantees.
 
     ``amount`` is the line revenue; by default quantity times unit price. The
-    status filter reaches the order scan, so lines meet a reduced order table
-    first and products last. Neither join is hinted: Spark broadcasts a side
-    whose measured size allows it and otherwise sorts and merges, where the
-    adaptive plan splits a hot product.
+    status filter reaches the order scan.
     """
     revenue = money(F.col("quantity") * F.col("unit_price") if amount is None else amount)
     headers = orders.filter(F.col("status") == completed).select(
         "order_id", "user_id", "order_date", "payment_method", "shipping_fee", "discount_amount"
     )
-    attributes = products.select("product_id", "brand", "name", "category", "cost_price")
-    priced = (
-        items.join(headers, "order_id")
-        .join(attributes, "product_id")
-        .withColumns({"line_revenue": revenue, "line_cost": money(F.col("quantity") * F.col("cost_price"))})
-    )
-    return priced.select(
+    return items.join(headers, "order_id").select(
         "order_id",
         "product_id",
         "user_id",
@@ -44,28 +39,49 @@ def build_sales(
         "payment_method",
         "shipping_fee",
         "discount_amount",
-        "brand",
-        "name",
-        "category",
         F.col("quantity").cast("bigint").alias("quantity"),
-        "line_revenue",
-        "line_cost",
-        money(F.col("line_revenue") - F.col("line_cost")).alias("line_profit"),
+        revenue.alias("line_revenue"),
         month_key("order_date").alias("order_month"),
         iso_week("order_date").alias("order_week"),
     )
 
 
+def build_sales(
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    *,
+    completed: str = "Completed",
+    amount: Column | None = None,
+) -> DataFrame:
+    """The sales fact: lines of completed orders with product attributes, cost and profit.
+
+    Lines meet the reduced order table first and products last. Neither join is
+    hinted: Spark broadcasts a side whose measured size allows it and otherwise
+    sorts and merges, where the adaptive plan splits a hot product.
+    """
+    attributes = products.select("product_id", "brand", "name", "category", "cost_price")
+    cost = money(F.col("quantity") * F.col("cost_price"))
+    return (
+        build_lines(items, orders, completed=completed, amount=amount)
+        .join(attributes, "product_id")
+        .withColumn("line_cost", cost)
+        .withColumn("line_profit", money(F.col("line_revenue") - F.col("line_cost")))
+        .drop("cost_price")
+    )
+
+
 def sums_by_order(sales: DataFrame, *keys: str) -> DataFrame:
-    """Order-level sums within further keys.
+    """Order-level sums within further keys; cost only where the fact carries it.
 
     Rows are spread by order as well as by key, so a key that owns a third of
     all lines is still spread over all tasks. The next level then counts orders
     as rows, which spares a distinct count.
     """
+    costs = [sum_money("line_cost").alias("cost")] if "line_cost" in sales.columns else []
     return sales.groupBy("order_id", "user_id", *keys).agg(
         sum_money("line_revenue").alias("revenue"),
-        sum_money("line_cost").alias("cost"),
+        *costs,
         F.sum("quantity").alias("units"),
         F.count(F.lit(1)).alias("lines"),
         F.max("order_date").alias("order_date"),
@@ -74,12 +90,13 @@ def sums_by_order(sales: DataFrame, *keys: str) -> DataFrame:
 
 def sums_by_user(sales: DataFrame) -> DataFrame:
     """User-level sums, order and line counts, first and last purchase."""
+    per_order = sums_by_order(sales)
+    costs = [F.sum("cost").alias("cost")] if "cost" in per_order.columns else []
     return (
-        sums_by_order(sales)
-        .groupBy("user_id")
+        per_order.groupBy("user_id")
         .agg(
             F.sum("revenue").alias("revenue"),
-            F.sum("cost").alias("cost"),
+            *costs,
             F.count(F.lit(1)).alias("orders"),
             F.sum("lines").alias("lines"),
             F.min("order_date").alias("first_purchase"),

@@ -20,16 +20,21 @@ def executive_kpis(monthly: DataFrame, churn: DataFrame) -> DataFrame:
         flag_count(F.col("churn_risk") == "Active").alias("active"),
         flag_count(F.col("churn_risk") == "Churned").alias("churned"),
     )
-    rate = users.select(F.coalesce(percent("churned", "users", 1), F.lit(0.0)).alias("rate"))
+    # both figures come from one subquery over the churn table
+    figures = users.select(
+        F.struct(
+            "active", F.coalesce(percent("churned", "users", 1), F.lit(0.0)).alias("churn_rate")
+        ).alias("figures")
+    ).scalar()
     return monthly.agg(
         F.coalesce(F.sum("net_revenue"), F.lit(0)).alias("net_revenue"),
         F.coalesce(F.sum("gross_profit"), F.lit(0)).alias("gross_profit"),
     ).select(
         "net_revenue",
         "gross_profit",
-        users.select("active").scalar().alias("active_users"),
-        rate.scalar().alias("churn_rate_pct"),
-    )
+        figures.alias("figures"),
+    ).select("net_revenue", "gross_profit", F.col("figures.active").alias("active_users"),
+             F.col("figures.churn_rate").alias("churn_rate_pct"))
 
 
 def revenue_series(monthly: DataFrame) -> DataFrame:
@@ -43,7 +48,7 @@ def brand_share(brands: DataFrame) -> DataFrame:
     """Revenue and percentage of all revenue per brand."""
     totals = brands.groupBy("brand").agg(F.sum("total_revenue").alias("total_revenue"))
     return totals.withColumn(
-        "share_pct", half_up(share_of_total(totals, "total_revenue") * F.lit(100.0), 2)
+        "share_pct", half_up(share_of_total("total_revenue") * F.lit(100.0), 2)
     )
 
 

@@ -118,7 +118,9 @@ def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True)
     )
     low, mid, high = rules.price_bounds
     many, few = rules.price_counts
-    rfm = customers.rfm_features(sales, rules.as_of)
+    # one column of the staged fact, read again by the tables that count days
+    today = sales.agg(F.max("order_date")).scalar() if rules.as_of is None else rules.as_of
+    rfm = customers.rfm_features(sales, today)
     daily_events = behaviour.daily_event_funnel(bronze.clicks)
 
     tables = {
@@ -146,9 +148,9 @@ def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True)
         "gold_hourly": behaviour.weekday_hour_heatmap(sales),
         "gold_payment": finance.payment_mix(sales),
         "gold_city": customers.city_sales(sales, bronze.users),
-        "gold_clv": customers.clv(sales, bronze.users, rules.clv_tiers, rules.as_of),
+        "gold_clv": customers.clv(sales, bronze.users, rules.clv_tiers, today),
         "gold_churn": customers.churn_risk(
-            sales, bronze.users, rules.churn_days, rules.dormant_days, rules.as_of
+            sales, bronze.users, rules.churn_days, rules.dormant_days, today
         ),
         "gold_price_sensitivity": customers.price_sensitivity(sales, low, mid, high, many, few),
         "gold_journey": behaviour.funnel_conversion(bronze.clicks, rules.stages),
@@ -158,7 +160,7 @@ def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True)
         "gold_seasonality_hour": behaviour.hour_seasonality(sales),
     }
     if include_ml:
-        lines_rfm = customers.rfm_features(sales, rules.as_of, count_lines=True)
+        lines_rfm = customers.rfm_features(sales, today, count_lines=True)
         four = customers.rfm_segments(
             customers.rfm_clusters(lines_rfm, k=4), bronze.users.select("user_id", "name", "email"), customers.SEGMENTS_4
         )

@@ -40,7 +40,10 @@ def running_totals(
     rank: str = "rank",
     ranges: int | None = None,
 ) -> DataFrame:
-    """Add a 1-based rank and inclusive running totals; ``totals`` maps new column to summed column."""
+    """Add a 1-based rank and inclusive running totals; ``totals`` maps new column to summed column.
+
+    Each running total comes with its grand total as <column>_of.
+    """
     if ranges is None:
         ranges = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage(
@@ -53,6 +56,7 @@ def running_totals(
         *(F.sum(source).cast(kinds[out]).alias(f"_sum_{out}") for out, source in totals.items()),
     )
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
     offsets = sizes.select(
         _RANGE,
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
@@ -60,6 +64,7 @@ def running_totals(
             F.coalesce(F.sum(f"_sum_{out}").over(before), F.lit(0)).cast(kinds[out]).alias(f"_before_{out}")
             for out in totals
         ),
+        *(F.sum(f"_sum_{out}").over(whole).cast(kinds[out]).alias(f"{out}_of") for out in totals),
     )
 
     inside = Window.partitionBy(_RANGE).orderBy(*order)
@@ -71,6 +76,7 @@ def running_totals(
             (F.col(f"_before_{out}") + F.sum(source).over(so_far)).cast(kinds[out]).alias(out)
             for out, source in totals.items()
         ),
+        *(f"{out}_of" for out in totals),
     )
 
 

@@ -12,6 +12,7 @@ from ..functions import compact_number, joined
 from ..operators import basket, behaviour, customers, finance, monitor, products, serving
 from ..operators.sales import (
     average_dwell,
+    build_lines,
     build_sales,
     enrich_clicks,
     flatten_clicks,
@@ -84,8 +85,13 @@ def sales(star: StarRetail) -> DataFrame:
     )
 
 
+def lines(star: StarRetail) -> DataFrame:
+    """For tables that need no product attribute."""
+    return build_lines(star.items, star.orders, completed=COMPLETED, amount=F.col("line_amount"))
+
+
 def churn(star: StarRetail) -> DataFrame:
-    return customers.churn_risk(sales(star), star.users)
+    return customers.churn_risk(lines(star), star.users)
 
 
 def pl(star: StarRetail) -> DataFrame:
@@ -93,15 +99,15 @@ def pl(star: StarRetail) -> DataFrame:
 
 
 def inventory(star: StarRetail) -> DataFrame:
-    return products.inventory_health(sales(star), star.products, star.suppliers)
+    return products.inventory_health(lines(star), star.products, star.suppliers)
 
 
 def clusters(star: StarRetail, k: int, count_lines: bool = False) -> DataFrame:
-    return customers.rfm_clusters(customers.rfm_features(sales(star), count_lines=count_lines), k=k)
+    return customers.rfm_clusters(customers.rfm_features(lines(star), count_lines=count_lines), k=k)
 
 
 def nps_classes(star: StarRetail) -> DataFrame:
-    return customers.nps_segments(customers.nps_users(sales(star), PROMOTER, PASSIVE))
+    return customers.nps_segments(customers.nps_users(lines(star), PROMOTER, PASSIVE))
 
 
 def event_stream(star: StarRetail) -> DataFrame:
@@ -196,7 +202,7 @@ def discount_roi(star):
 
 @query
 def payment_mix(star):
-    return finance.payment_mix(sales(star))
+    return finance.payment_mix(lines(star))
 
 
 # --- products ------------------------------------------------------------------------
@@ -204,7 +210,7 @@ def payment_mix(star):
 
 @query
 def product_performance(star):
-    return products.product_performance(sales(star), star.products)
+    return products.product_performance(lines(star), star.products)
 
 
 @query
@@ -229,12 +235,12 @@ def supplier_scorecard(star):
 
 @query
 def abc_pareto(star):
-    return products.abc_pareto(sales(star), star.products)
+    return products.abc_pareto(lines(star), star.products)
 
 
 @query
 def abc_distribution(star):
-    return products.abc_distribution(products.abc_pareto(sales(star), star.products))
+    return products.abc_distribution(products.abc_pareto(lines(star), star.products))
 
 
 @query
@@ -262,17 +268,17 @@ def affinity_matrix(star):
 
 @query
 def member_summary(star):
-    return customers.member_summary(sales(star), star.users)
+    return customers.member_summary(lines(star), star.users)
 
 
 @query
 def rfm_features(star):
-    return customers.rfm_features(sales(star))
+    return customers.rfm_features(lines(star))
 
 
 @query
 def rfm_features_by_line(star):
-    return customers.rfm_features(sales(star), count_lines=True)
+    return customers.rfm_features(lines(star), count_lines=True)
 
 
 @query
@@ -292,7 +298,7 @@ def cluster_profile(star):
 
 @query
 def cohort_retention(star):
-    return customers.cohort_retention(sales(star))
+    return customers.cohort_retention(lines(star))
 
 
 @query
@@ -322,12 +328,12 @@ def churn_distribution(star):
 
 @query
 def price_sensitivity(star):
-    return customers.price_sensitivity(sales(star), **PRICE)
+    return customers.price_sensitivity(lines(star), **PRICE)
 
 
 @query
 def sensitivity_stats(star):
-    return customers.sensitivity_stats(customers.price_sensitivity(sales(star), **PRICE))
+    return customers.sensitivity_stats(customers.price_sensitivity(lines(star), **PRICE))
 
 
 @query
@@ -395,7 +401,7 @@ def weekday_hour_heatmap(star):
 
 @query
 def weekday_seasonality(star):
-    return behaviour.weekday_seasonality(sales(star))
+    return behaviour.weekday_seasonality(lines(star))
 
 
 @query
@@ -443,12 +449,12 @@ def finance_points(star):
 
 @query
 def churn_points(star):
-    return serving.churn_points(churn(star), customers.rfm_features(sales(star)))
+    return serving.churn_points(churn(star), customers.rfm_features(lines(star)))
 
 
 @query
 def rfm_points(star):
-    return serving.rfm_points(customers.rfm_features(sales(star)))
+    return serving.rfm_points(customers.rfm_features(lines(star)))
 
 
 @query
@@ -536,7 +542,7 @@ def latest_months(star):
 
 @query
 def latest_rfm(star):
-    return monitor.latest_rows(customers.rfm_features(sales(star)), "user_id", 100)
+    return monitor.latest_rows(customers.rfm_features(lines(star)), "user_id", 100)
 
 
 @query

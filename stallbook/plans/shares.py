@@ -1,17 +1,19 @@
-"""Shares of a grand total."""
+"""Shares of a grand total.
+
+Only for finished aggregates with one row per label (payment method, promoter
+class, brand): those rows fit in one task by nature, and a window over them
+reads the aggregate once, where a scalar subquery would compute it again.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import ratio
 
 
-def share_of_total(frame: DataFrame, value: str) -> Column:
-    """value / sum(value) over the whole frame, as double.
-
-    The total is a scalar subquery over the same aggregate; Spark reuses the
-    aggregate's exchange, so nothing is gathered and nothing is computed twice.
-    """
-    return ratio(F.col(value), frame.agg(F.sum(value)).scalar())
+def share_of_total(value: str) -> Column:
+    """value / sum(value) over all labels, as double."""
+    return ratio(F.col(value), F.sum(value).over(Window.partitionBy()))
