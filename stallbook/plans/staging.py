@@ -17,14 +17,13 @@ _SETTING = "spark.checkpoint.dir"
 def work_folder(spark: SparkSession) -> str:
     """The shared folder named by the session; a temporary one only on a single machine."""
     context = spark.sparkContext
-    named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
+    named = context.getConf().get(_SETTING) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="stallbook-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="stallbook-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -28,7 +29,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "stallbook") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "stallbook",
+    settings: Mapping[str, str] | None = None,
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -37,7 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("STALLBOOK_DRIVER_MEMORY", "6g"))
     )
-    for key, value in DEFAULTS.items():
+    for key, value in {**DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

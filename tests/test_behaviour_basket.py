@@ -1,0 +1,117 @@
+from itertools import permutations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from stallbook.operators import basket, behaviour, serving
+
+
+def test_daily_funnel_keeps_unreadable_times_under_null(shop):
+    found = {(str(r["event_date"]), r["event_type"]): r["event_count"] for r in behaviour.daily_event_funnel(shop.clicks).collect()}
+    assert found == {("2024-01-01", "view"): 2, ("2024-01-02", "click"): 1, ("None", "buy"): 1}
+
+
+def test_channels_devices_support(shop):
+    channels = {r["referrer"]: (r["total_events"], r["unique_users"]) for r in behaviour.channel_attribution(shop.clicks).collect()}
+    assert channels == {"ads": (2, 1), "mail": (2, 2)}
+    devices = {(r["device"], r["os"]): r["event_count"] for r in behaviour.device_breakdown(shop.clicks).collect()}
+    assert devices == {("mobile", "ios"): 2, ("tablet", "ios"): 2}
+    support = {r["priority"]: (r["ticket_count"], r["avg_satisfaction"]) for r in behaviour.support_summary(shop.tickets).collect()}
+    assert support == {"High": (2, 4.0), "Low": (1, None)}
+
+
+def test_heatmap_and_seasonality(shop):
+    heat = {(r["day_of_week"], r["hour_of_day"]): r["order_count"] for r in behaviour.weekday_hour_heatmap(shop.sales).collect()}
+    assert heat == {("Wednesday", 10): 2, ("Monday", 11): 2, ("Tuesday", 11): 1, ("Saturday", 23): 1}
+    week = {r["weekday"]: r["weekday_order"] for r in behaviour.weekday_seasonality(shop.sales).collect()}
+    assert week == {"Monday": 1, "Tuesday": 2, "Wednesday": 3, "Saturday": 6}
+    hours = {r["hour"]: float(r["total_revenue"]) for r in behaviour.hour_seasonality(shop.sales).collect()}
+    assert hours == {10: 90.0, 11: 180.0, 23: 0.0}
+    points = rows(serving.hour_points(behaviour.hour_seasonality(shop.sales)), "x")
+    assert [(p["x"], p["y"]) for p in points] == [(10, 3), (11, 4), (23, 2)]
+
+
+@pytest.fixture(scope="module")
+def visits(spark):
+    data = ["view"] * 8 + ["cart"] * 2 + ["pay"] * 4
+    return spark.createDataFrame([(e,) for e in data], "event_type string")
+
+
+def test_funnel_rates(visits):
+    found = behaviour.funnel_conversion(visits, ["view", "cart", "pay", "keep"])
+    assert [(r["stage"], r["count"], r["conversion_rate"], r["dropoff_rate"]) for r in rows(found, "stage_no")] == [
+        ("view", 8, 25.0, 75.0),
+        ("cart", 2, 200.0, -100.0),
+        ("pay", 4, 0.0, 100.0),
+        ("keep", 0, None, None),
+    ]
+    assert {r["stage"] for r in behaviour.dropoff_stages(found).collect()} == {"view", "pay"}
+    assert [p["x"] for p in rows(serving.stage_points(found), "z")] == [1, 0, 2, 3]
+
+
+def test_funnel_in_the_reference_form(visits):
+    found = rows(behaviour.funnel_conversion(visits, ["view", "cart", "pay"], reference_form=True), "stage_no")
+    assert [r["conversion_rate"] for r in found] == [400.0, 50.0, None]
+
+
+def test_baskets_hold_each_item_once(spark):
+    sales = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "c")], "user_id int, name string")
+    found = {r["user_id"]: sorted(r["items"]) for r in basket.baskets(sales).collect()}
+    assert found == {1: ["a", "b"], 2: ["c"]}
+
+
+def test_rules_equal_brute_force(spark):
+    carts = ["abc", "ab", "ab", "a", "bc"]
+    groups = spark.createDataFrame([(list(c),) for c in carts], "items array<string>")
+    found = {
+        (r["antecedent"], r["consequent"]): (r["confidence"], r["lift"], r["support"])
+        for r in basket.association_rules(groups, 0.4, 0.5).collect()
+    }
+    n = len(carts)
+
+    def count(items):
+        return sum(set(items) <= set(c) for c in carts)
+
+    expected = {}
+    for x, y in permutations("abc", 2):
+        both = count(x + y)
+        if both / n >= 0.4 and both / count(x) >= 0.5:
+            confidence = both / count(x)
+            expected[(x, y)] = pytest.approx((confidence, confidence / (count(y) / n), both / n))
+    assert {k: v for k, v in found.items() if "," not in k[0]} == expected
+
+
+def test_rules_name_antecedents_in_order(spark):
+    groups = spark.createDataFrame([(list("cab"),)] * 3 + [(list("x"),)], "items array<string>")
+    found = {r["antecedent"] for r in basket.association_rules(groups, 0.5, 0.5).collect()}
+    assert {"a, b", "a, c", "b, c"} <= found
+
+
+def test_serving_figures(spark):
+    monthly = spark.createDataFrame(
+        [("2024-02", 20.0, None, 4.0), ("2024-01", 10.0, 9.0, 3.0)],
+        "order_month string, gross_revenue double, net_revenue double, gross_profit double",
+    )
+    churn = spark.createDataFrame(
+        [(1, "Ann", "Active"), (2, "Bob", "Churned"), (3, "Cyd", "Active")], "user_id int, name string, churn_risk string"
+    )
+    kpis = serving.executive_kpis(monthly, churn).first()
+    assert tuple(kpis) == (9.0, 7.0, 2, 33.3)
+    assert tuple(serving.executive_kpis(monthly, churn.limit(0)).first())[2:] == (0, 0.0)
+    assert [tuple(r) for r in serving.revenue_series(monthly).collect()] == [("2024-01", 9.0), ("2024-02", 0.0)]
+    assert [r["y"] for r in rows(serving.finance_points(monthly), "x")] == [10.0, 20.0]
+
+    rfm = spark.createDataFrame([(1, 5, 2, 9.0), (2, 99, 1, 1.0)], "user_id int, recency int, frequency int, monetary double")
+    points = {r["label"]: (r["x"], r["color"]) for r in serving.churn_points(churn, rfm).collect()}
+    assert points == {"Ann": (5, 0), "Bob": (99, 3)}
+    assert {r["color"] for r in serving.rfm_points(rfm).collect()} == {9.0, 1.0}
+
+    brands = spark.createDataFrame([("a", 30.0), ("b", 10.0)], "brand string, total_revenue double")
+    assert {r["brand"]: r["share_pct"] for r in serving.brand_share(brands).collect()} == {"a": 75.0, "b": 25.0}
+
+
+def test_stock_points(shop):
+    found = rows(serving.stock_points(shop.products), "label")
+    assert found[0]["label"] == "cable" and float(found[0]["x"]) == 1.0 and found[0]["color"] == 400
+    assert shop.products.agg(F.count("*")).first()[0] == len(found)
