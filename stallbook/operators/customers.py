@@ -84,11 +84,15 @@ def rfm_clusters(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     numeric = rfm.select("user_id", *(F.col(name).cast("double").alias(name) for name in features))
     parts = int(rfm.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = stage(numeric.repartition(parts, "user_id").sortWithinPartitions("user_id"), "rfm")
+    # k-means needs two clusters at least and no more of them than users
+    users = staged.limit(k).count()
+    if users < 2:
+        return staged.withColumn("prediction", F.lit(0))
     steps = Pipeline(
         stages=[
             VectorAssembler(inputCols=features, outputCol="features"),
             StandardScaler(inputCol="features", outputCol="scaled", withStd=True, withMean=True),
-            KMeans(featuresCol="scaled", predictionCol="prediction", k=k, seed=seed),
+            KMeans(featuresCol="scaled", predictionCol="prediction", k=users, seed=seed),
         ]
     )
     return steps.fit(staged).transform(staged).select("user_id", *features, "prediction")

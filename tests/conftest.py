@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     }
-    session = local_session(4, shuffle_partitions=4, app="stallbook-tests", settings=folders)
+    session = local_session(8, shuffle_partitions=4, app="stallbook-tests", settings=folders)
     yield session
     session.stop()
 

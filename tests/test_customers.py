@@ -66,6 +66,14 @@ def test_clusters_are_repeatable(spark, clustered):
     assert rows(again.select("user_id", "prediction"), "user_id") == rows(clustered.select("user_id", "prediction"), "user_id")
 
 
+@pytest.mark.parametrize("count", [0, 1, 2, 3])
+def test_fewer_users_than_clusters(spark, count):
+    few = spark.range(count).selectExpr("id AS user_id", "id AS recency", "1 AS frequency", "2.0D AS monetary")
+    found = customers.rfm_clusters(few, k=5)
+    assert found.count() == count
+    assert customers.rfm_segments(found).count() == count
+
+
 def test_cohorts(spark):
     sales = purchases(
         spark,
