@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,16 +25,26 @@ def association_rules(
 ) -> DataFrame:
     """Rules with confidence, lift and support; item lists as text.
 
-    Runs jobs: baskets are staged and mined with parallel FP-growth.
+    Runs jobs: baskets are staged and mined with parallel FP-growth, over as
+    many partitions as a shuffle has unless told otherwise.
     """
-    miner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    if partitions is not None:
-        miner = miner.setNumPartitions(partitions)
-    rules = miner.fit(stage(groups.select("items"), "baskets")).associationRules
-    return rules.select(
-        joined("antecedent").alias("antecedent"),
-        joined("consequent").alias("consequent"),
-        "confidence",
-        "lift",
-        "support",
+    if partitions is None:
+        partitions = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    miner = FPGrowth(
+        itemsCol="items", minSupport=min_support, minConfidence=min_confidence, numPartitions=partitions
     )
+    model = miner.fit(stage(groups.select("items"), "baskets"))
+    # rule generation reads the itemsets several times and would mine them each time
+    itemsets = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
+    rules = stage(
+        model.associationRules.select(
+            joined("antecedent").alias("antecedent"),
+            joined("consequent").alias("consequent"),
+            "confidence",
+            "lift",
+            "support",
+        ),
+        "rules",
+    )
+    itemsets.unpersist()
+    return rules
