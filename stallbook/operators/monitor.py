@@ -149,6 +149,12 @@ def throughput_scorecard(
     )
 
 
+def event_types(events: DataFrame) -> DataFrame:
+    """Events per type; a missing type counts as unknown."""
+    named = events.select(F.coalesce("event_type", F.lit("unknown")).alias("event_type"))
+    return named.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
 def latest_rows(table: DataFrame, by: str, n: int = 100) -> DataFrame:
     """The n rows with the highest key (a probe query; the key must be unique)."""
     return table.orderBy(F.desc(by)).limit(n)

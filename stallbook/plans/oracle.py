@@ -541,6 +541,12 @@ FROM hdr LEFT JOIN usr USING (user_id) ORDER BY hdr.order_date DESC, order_id DE
     sql["recent_events"] = f"""
 SELECT event_id, user_id, event_type, {stamp('ts')} AS timestamp FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY ORDER BY event_id DESC LIMIT 100"""
+    sql["recent_event_types"] = f"""
+WITH r AS (SELECT event_id, event_type FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+           ORDER BY event_id DESC LIMIT 100)
+SELECT event_type, {big('count(*)')} AS events FROM r GROUP BY event_type"""
+    sql["orders_without_conflicts"] = """
+SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'F'"""
     sql["status_distribution"] = (
         f"SELECT o_orderstatus AS status, {big('count(*)')} AS order_count FROM orders GROUP BY 1"
     )

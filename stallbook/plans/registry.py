@@ -31,6 +31,7 @@ from ..streaming import (
     rolling_kpis,
     rolling_rate,
     run_to_table,
+    without_known,
 )
 
 # Thresholds under which every class of the test tables has members.
@@ -514,6 +515,11 @@ def recent_events(star):
     return recent.select("event_id", "user_id", "event_type", "timestamp")
 
 
+@query
+def recent_event_types(star):
+    return monitor.event_types(recent_documents(star.clicks, within="1 day"))
+
+
 @query
 def status_distribution(star):
     return monitor.status_distribution(star.orders)
@@ -584,6 +590,14 @@ def deduplicated_events(star):
     return dedup_events(twice, "event_id", "ts").select("event_id", "user_id", "event_type")
 
 
+@query
+def orders_without_conflicts(star):
+    """Every order arrives twice; completed ones are stored already."""
+    known = star.orders.filter(F.col("status") == COMPLETED)
+    arriving = star.orders.unionByName(star.orders)
+    return without_known(arriving, known, "order_id").select("order_id", "user_id", "status")
+
+
 @query
 def stream_orders_by_minute(star):
     return run_to_table(orders_per_minute(event_stream(star), "ts"), "minutes")

@@ -1,6 +1,6 @@
 """Live monitors. Every transformation takes a batch or a streaming DataFrame."""
 
-from .ingest import dedup_events, enrich_stream, run_to_table, stream_to_gold
+from .ingest import append_new, dedup_events, enrich_stream, run_to_table, stream_to_gold, without_known
 from .windows import (
     daily_funnel,
     event_mix,
@@ -12,6 +12,7 @@ from .windows import (
 )
 
 __all__ = [
+    "append_new",
     "daily_funnel",
     "dedup_events",
     "enrich_stream",
@@ -23,4 +24,5 @@ __all__ = [
     "rolling_rate",
     "run_to_table",
     "stream_to_gold",
+    "without_known",
 ]

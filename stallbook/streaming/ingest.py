@@ -23,6 +23,23 @@ def dedup_events(
     return timed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
+def without_known(rows: DataFrame, known: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """One row per key that the known table does not hold yet: an insert that ignores conflicts."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return rows.dropDuplicates(keys).join(known.select(*keys), keys, "left_anti")
+
+
+def append_new(
+    load_known: Callable[[], DataFrame], write: Callable[[DataFrame], None], key: str | Sequence[str]
+) -> Callable[[DataFrame, int], None]:
+    """A micro-batch writer that appends unknown keys only, so that a repeated batch adds nothing."""
+
+    def append(batch: DataFrame, number: int) -> None:
+        write(without_known(batch, load_known(), key))
+
+    return append
+
+
 def enrich_stream(clicks: DataFrame, users: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Flattened clicks joined to a static user table."""
     return enrich_clicks(flatten_clicks(clicks), users, columns)

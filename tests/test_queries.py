@@ -40,6 +40,22 @@ def test_query_matches_sql(spark, con, name):
     assert good, note
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["monthly_pl", "inventory_health", "brand_performance", "supplier_scorecard", "clv", "enriched_clicks", "recent_orders"],
+)
+def test_results_do_not_depend_on_the_join_strategy(spark, con, name):
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for setting in settings:
+        spark.conf.set(setting, "-1")
+    try:
+        good, note = compare(spark, con, FOLDER, name, QUERIES[name], SQL[name])
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
+    assert good, note
+
+
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.count() > 0 and frame.columns[0] == "order_month"

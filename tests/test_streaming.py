@@ -96,6 +96,21 @@ def test_dedup_drops_repeated_keys(spark):
     assert live.dedup_events(source.batch(), "event_id", "ts").count() == 3
 
 
+def test_appending_ignores_known_keys(spark):
+    source = Feed(spark)
+    source.add([("a", 1, "view", 0.0), ("b", 1, "view", 1.0), ("a", 1, "view", 2.0)])
+    source.add([("b", 1, "view", 3.0), ("c", 1, "view", 4.0)])
+    table = new_folder(spark, "appended")
+    spark.createDataFrame([("b", 9, "old", None, None)], SCHEMA).write.parquet(table)
+    append = live.append_new(
+        lambda: spark.read.schema(SCHEMA).parquet(table), lambda f: f.write.mode("append").parquet(table), "event_id"
+    )
+    live.stream_to_gold(source.stream(), append, new_folder(spark, "state")).awaitTermination()
+    stored = rows(spark.read.schema(SCHEMA).parquet(table), "event_id")
+    assert [r["event_id"] for r in stored] == ["a", "b", "c"]
+    assert stored[1]["event_type"] == "old"
+
+
 def test_restart_from_the_checkpoint_adds_nothing(spark, feed):
     checkpoint = new_folder(spark, "state")
     seen = []
