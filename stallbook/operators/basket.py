@@ -26,13 +26,11 @@ def association_rules(
     """Rules with confidence, lift and support; item lists as text.
 
     Runs jobs: baskets are staged and mined with parallel FP-growth, over as
-    many partitions as a shuffle has unless told otherwise.
+    many partitions as the staged baskets have unless told otherwise.
     """
-    if partitions is None:
-        partitions = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    miner = FPGrowth(
-        itemsCol="items", minSupport=min_support, minConfidence=min_confidence, numPartitions=partitions
-    )
+    miner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
+    if partitions is not None:
+        miner = miner.setNumPartitions(partitions)
     model = miner.fit(stage(groups.select("items"), "baskets"))
     # rule generation reads the itemsets several times and would mine them each time
     itemsets = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)

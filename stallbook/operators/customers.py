@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import band, flag_count, half_up, percent, ratio, sum_money, tier
+from ..functions import flag_count, half_up, month_key, percent, ratio, sum_money, tier
 from ..functions.bands import first_match
 from ..plans.shares import share_of_total
 from ..plans.staging import stage
@@ -136,18 +136,14 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
     A user is reduced to the set of months with a purchase, which is bounded by
     the calendar; its minimum is the cohort.
     """
-    months = sales.groupBy("user_id").agg(F.collect_set("order_month").alias("months"))
-    gaps = months.select(
-        F.array_min("months").alias("cohort_month"), F.explode("months").alias("active_month")
-    )
+    months = sales.groupBy("user_id").agg(F.collect_set(F.trunc("order_date", "month")).alias("months"))
+    active = months.select(F.array_min("months").alias("first"), F.explode("months").alias("month"))
     return (
-        gaps.groupBy("cohort_month", "active_month")
+        active.groupBy("first", "month")
         .agg(F.count(F.lit(1)).alias("active_users"))
         .select(
-            "cohort_month",
-            F.months_between(
-                F.to_date("active_month", "yyyy-MM"), F.to_date("cohort_month", "yyyy-MM")
-            ).cast("int").alias("months_since_first"),
+            month_key("first").alias("cohort_month"),
+            F.months_between("month", "first").cast("int").alias("months_since_first"),
             "active_users",
         )
     )

@@ -111,12 +111,13 @@ def order_rollup(sales: DataFrame) -> DataFrame:
     Shipping and discount repeat on every line of an order, so any value does;
     max makes the choice the same in every run.
     """
-    return sales.groupBy("order_id", "order_month", "order_date").agg(
+    orders = sales.groupBy("order_id", "order_date").agg(
         sum_money("line_revenue").alias("order_revenue"),
         sum_money("line_cost").alias("order_cost"),
         F.max("shipping_fee").alias("shipping_fee"),
         F.max("discount_amount").alias("discount_amount"),
     )
+    return orders.withColumn("order_month", month_key("order_date"))
 
 
 def flatten_clicks(

@@ -32,9 +32,9 @@ def executive_kpis(monthly: DataFrame, churn: DataFrame) -> DataFrame:
     ).select(
         "net_revenue",
         "gross_profit",
-        figures.alias("figures"),
-    ).select("net_revenue", "gross_profit", F.col("figures.active").alias("active_users"),
-             F.col("figures.churn_rate").alias("churn_rate_pct"))
+        figures["active"].alias("active_users"),
+        figures["churn_rate"].alias("churn_rate_pct"),
+    )
 
 
 def revenue_series(monthly: DataFrame) -> DataFrame:

@@ -58,12 +58,16 @@ class StarRetail:
 
     @cached_property
     def items(self) -> DataFrame:
-        """Order lines; the line amount is given, so it is carried instead of a unit price."""
+        """Order lines with the given line amount instead of a unit price.
+
+        The amount stays as stored, so that only lines that pass the joins are
+        converted to a decimal.
+        """
         return self.raw("lineitem").selectExpr(
             "l_orderkey AS order_id",
             "l_partkey AS product_id",
             "CAST(l_quantity AS INT) AS quantity",
-            "CAST(l_extendedprice AS DECIMAL(18,2)) AS line_amount",
+            "l_extendedprice AS line_amount",
         )
 
     @cached_property
