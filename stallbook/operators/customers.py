@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import flag_count, half_up, month_key, percent, ratio, sum_money, tier
+from ..functions import flag_count, half_up, month_key, percent, ratio, tier
 from ..functions.bands import first_match
 from ..plans.shares import share_of_total
 from ..plans.staging import stage
-from .sales import sums_by_order, sums_by_user
+from .sales import spend_by_user, sums_by_order, sums_by_user
 
 # Labels, from the cluster with the lowest mean spend to the highest.
 SEGMENTS_5 = ("Hibernating", "New / Potential", "At Risk", "Loyal", "Champions")
@@ -33,11 +33,8 @@ def member_summary(sales: DataFrame, users: DataFrame) -> DataFrame:
     Sales are reduced to one row per user first: customers are then rows, and
     the join carries users instead of lines.
     """
-    spent = sales.groupBy("user_id").agg(
-        sum_money("line_revenue").alias("revenue"), F.count("order_id").alias("lines")
-    )
     levels = (
-        spent.join(users.select("user_id", "member_level"), "user_id")
+        spend_by_user(sales).join(users.select("user_id", "member_level"), "user_id")
         .groupBy("member_level")
         .agg(
             F.count(F.lit(1)).alias("total_customers"),
@@ -281,11 +278,8 @@ def price_sensitivity(
             F.sum("units").alias("total_items"),
         )
     else:
-        spending = sales.groupBy("user_id").agg(
-            sum_money("line_revenue").alias("revenue"),
-            F.count("line_revenue").alias("lines"),
-            F.count("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_items"),
+        spending = spend_by_user(sales).select(
+            "user_id", "revenue", "lines", F.col("lines").alias("total_orders"), F.col("units").alias("total_items")
         )
     valued = spending.withColumn("avg_order_value", ratio("revenue", "lines"))
     value, orders = F.col("avg_order_value"), F.col("total_orders")
@@ -326,8 +320,8 @@ def nps_users(
             F.count(F.lit(1)).alias("order_count"), F.sum("revenue").alias("total_spent")
         )
     else:
-        spent = sales.groupBy("user_id").agg(
-            F.count("order_id").alias("order_count"), sum_money("line_revenue").alias("total_spent")
+        spent = spend_by_user(sales).select(
+            "user_id", F.col("lines").alias("order_count"), F.col("revenue").alias("total_spent")
         )
 
     def reaches(level: tuple[int, float]) -> Column:

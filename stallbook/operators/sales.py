@@ -71,6 +71,29 @@ def build_sales(
     )
 
 
+def order_facts(sales: DataFrame) -> DataFrame:
+    """One row per order: sums over its lines, and what all its lines share.
+
+    Tables about orders, users, weeks, discounts and payments accept this frame
+    in place of the lines. Written once, it spares each of them a shuffle of all
+    lines. Shared values repeat on every line of an order, so any value does;
+    max makes the choice the same in every run.
+    """
+    shared = ("order_date", "payment_method", "shipping_fee", "discount_amount")
+    costs = [sum_money("line_cost").alias("cost")] if "line_cost" in sales.columns else []
+    return sales.groupBy("order_id", "user_id").agg(
+        sum_money("line_revenue").alias("revenue"),
+        *costs,
+        F.sum("quantity").alias("units"),
+        F.count(F.lit(1)).alias("lines"),
+        *(F.max(column).alias(column) for column in shared),
+    )
+
+
+def _is_order_level(sales: DataFrame) -> bool:
+    return "lines" in sales.columns
+
+
 def sums_by_order(sales: DataFrame, *keys: str) -> DataFrame:
     """Order-level sums within further keys; cost only where the fact carries it.
 
@@ -78,6 +101,8 @@ def sums_by_order(sales: DataFrame, *keys: str) -> DataFrame:
     all lines is still spread over all tasks. The next level then counts orders
     as rows, which spares a distinct count.
     """
+    if _is_order_level(sales):
+        return sales
     costs = [sum_money("line_cost").alias("cost")] if "line_cost" in sales.columns else []
     return sales.groupBy("order_id", "user_id", *keys).agg(
         sum_money("line_revenue").alias("revenue"),
@@ -105,19 +130,32 @@ def sums_by_user(sales: DataFrame) -> DataFrame:
     )
 
 
-def order_rollup(sales: DataFrame) -> DataFrame:
-    """One row per order: revenue, cost, shipping and discount.
+def spend_by_user(sales: DataFrame) -> DataFrame:
+    """Revenue, lines and units per user: straight from the lines, or from order facts."""
+    users = sales.groupBy("user_id")
+    if _is_order_level(sales):
+        return users.agg(
+            F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines"), F.sum("units").alias("units")
+        )
+    return users.agg(
+        sum_money("line_revenue").alias("revenue"),
+        F.count("order_id").alias("lines"),
+        F.sum("quantity").alias("units"),
+    )
 
-    Shipping and discount repeat on every line of an order, so any value does;
-    max makes the choice the same in every run.
-    """
-    orders = sales.groupBy("order_id", "order_date").agg(
-        sum_money("line_revenue").alias("order_revenue"),
-        sum_money("line_cost").alias("order_cost"),
-        F.max("shipping_fee").alias("shipping_fee"),
-        F.max("discount_amount").alias("discount_amount"),
+
+def order_rollup(sales: DataFrame) -> DataFrame:
+    """Revenue, cost, shipping and discount per order, with its month."""
+    orders = sales if _is_order_level(sales) else order_facts(sales)
+    return orders.select(
+        "order_id",
+        month_key("order_date").alias("order_month"),
+        "order_date",
+        F.col("revenue").alias("order_revenue"),
+        F.col("cost").alias("order_cost"),
+        "shipping_fee",
+        "discount_amount",
     )
-    return orders.withColumn("order_month", month_key("order_date"))
 
 
 def flatten_clicks(

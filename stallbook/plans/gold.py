@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import basket, behaviour, customers, finance, products
-from ..operators.sales import build_sales, order_rollup
+from ..operators.sales import build_sales, order_facts, order_rollup
 from ..sources.tables import write_all
 from .staging import stage
 
@@ -94,9 +94,10 @@ def sorted_for_display(name: str, frame: DataFrame) -> DataFrame:
 
 @dataclass
 class GoldBuild:
-    """The staged fact and the lazy gold tables."""
+    """The staged facts and the lazy gold tables."""
 
     sales: DataFrame
+    orders: DataFrame
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def write(self, writer: Callable[[DataFrame, str], None]) -> list[str]:
@@ -106,9 +107,10 @@ class GoldBuild:
 def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True) -> GoldBuild:
     """Define every gold table.
 
-    The sales fact is written once and every table reads the columns it needs
-    from the written files. Tables stay lazy; only the staged fact, the product
-    ranking and the two models run jobs here.
+    The sales fact is written once, and from it one row per order. Tables about
+    orders and users read the order rows, the others the columns they need of
+    the fact. Tables stay lazy; only the two facts, the product ranking and the
+    models run jobs here.
     """
     sales = stage(
         build_sales(
@@ -116,11 +118,12 @@ def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True)
         ),
         "sales",
     )
+    orders = stage(order_facts(sales), "orders")
     low, mid, high = rules.price_bounds
     many, few = rules.price_counts
-    # one column of the staged fact, read again by the tables that count days
-    today = sales.agg(F.max("order_date")).scalar() if rules.as_of is None else rules.as_of
-    rfm = customers.rfm_features(sales, today)
+    # one column of the order rows, read again by the tables that count days
+    today = orders.agg(F.max("order_date")).scalar() if rules.as_of is None else rules.as_of
+    rfm = customers.rfm_features(orders, today)
     daily_events = behaviour.daily_event_funnel(bronze.clicks)
 
     tables = {
@@ -128,39 +131,39 @@ def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True)
         "gold_daily_events": daily_events,
         "gold_finance": finance.daily_finance(sales),
         "gold_inventory": products.product_performance(sales, bronze.products),
-        "gold_members": customers.member_summary(sales, bronze.users),
+        "gold_members": customers.member_summary(orders, bronze.users),
         "gold_funnel": daily_events,
-        "gold_finance_pl": finance.monthly_pl(order_rollup(sales), finance.monthly_refunds(bronze.returns)),
+        "gold_finance_pl": finance.monthly_pl(order_rollup(orders), finance.monthly_refunds(bronze.returns)),
         "gold_category": finance.category_performance(sales),
         "gold_inventory_v2": products.inventory_health(sales, bronze.products, bronze.suppliers),
-        "gold_cohort": customers.cohort_retention(sales),
+        "gold_cohort": customers.cohort_retention(orders),
         "gold_returns": products.returns_breakdown(bronze.returns, bronze.products),
         "gold_return_rate": products.return_rate(sales, bronze.returns, bronze.products),
         "gold_supplier": products.supplier_scorecard(bronze.purchase_orders, bronze.suppliers, rules.received),
-        "gold_weekly_sales": finance.weekly_trend(sales),
+        "gold_weekly_sales": finance.weekly_trend(orders),
         "gold_funnel_v2": daily_events,
         "gold_channel": behaviour.channel_attribution(bronze.clicks),
         "gold_device": behaviour.device_breakdown(bronze.clicks),
         "gold_support": behaviour.support_summary(bronze.tickets),
         "gold_abc": products.abc_pareto(sales, bronze.products),
         "gold_brand": products.brand_performance(sales, bronze.returns, bronze.products),
-        "gold_discount": finance.discount_roi(sales),
+        "gold_discount": finance.discount_roi(orders),
         "gold_hourly": behaviour.weekday_hour_heatmap(sales),
-        "gold_payment": finance.payment_mix(sales),
-        "gold_city": customers.city_sales(sales, bronze.users),
-        "gold_clv": customers.clv(sales, bronze.users, rules.clv_tiers, today),
+        "gold_payment": finance.payment_mix(orders),
+        "gold_city": customers.city_sales(orders, bronze.users),
+        "gold_clv": customers.clv(orders, bronze.users, rules.clv_tiers, today),
         "gold_churn": customers.churn_risk(
-            sales, bronze.users, rules.churn_days, rules.dormant_days, today
+            orders, bronze.users, rules.churn_days, rules.dormant_days, today
         ),
-        "gold_price_sensitivity": customers.price_sensitivity(sales, low, mid, high, many, few),
+        "gold_price_sensitivity": customers.price_sensitivity(orders, low, mid, high, many, few),
         "gold_journey": behaviour.funnel_conversion(bronze.clicks, rules.stages),
         "gold_affinity": products.category_affinity(sales),
-        "gold_nps": customers.nps_segments(customers.nps_users(sales, rules.promoter, rules.passive)),
-        "gold_seasonality_weekly": behaviour.weekday_seasonality(sales),
-        "gold_seasonality_hour": behaviour.hour_seasonality(sales),
+        "gold_nps": customers.nps_segments(customers.nps_users(orders, rules.promoter, rules.passive)),
+        "gold_seasonality_weekly": behaviour.weekday_seasonality(orders, amount="revenue"),
+        "gold_seasonality_hour": behaviour.hour_seasonality(orders, amount="revenue"),
     }
     if include_ml:
-        lines_rfm = customers.rfm_features(sales, today, count_lines=True)
+        lines_rfm = customers.rfm_features(orders, today, count_lines=True)
         four = customers.rfm_segments(
             customers.rfm_clusters(lines_rfm, k=4), bronze.users.select("user_id", "name", "email"), customers.SEGMENTS_4
         )
@@ -171,4 +174,4 @@ def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True)
             basket.baskets(sales, rules.basket_by), rules.min_support, rules.min_confidence
         )
         tables["gold_rfm_v2"] = customers.rfm_segments(customers.rfm_clusters(rfm, k=5), bronze.users)
-    return GoldBuild(sales, tables)
+    return GoldBuild(sales, orders, tables)

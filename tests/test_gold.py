@@ -2,6 +2,8 @@ import pytest
 from conftest import rows
 
 from stallbook import sources
+from stallbook.operators import customers, finance
+from stallbook.operators.sales import order_facts, order_rollup
 from stallbook.plans.gold import SORT_KEYS, Bronze, Rules, build_gold, sorted_for_display
 from stallbook.plans.staging import work_folder
 
@@ -33,6 +35,33 @@ def test_tables_read_the_staged_fact(spark, build):
     assert all(work_folder(spark) in name for name in build.sales.inputFiles())
 
 
+@pytest.mark.parametrize(
+    "table",
+    {
+        "monthly_pl": lambda s, shop: finance.monthly_pl(order_rollup(s), finance.monthly_refunds(shop.returns)),
+        "weekly": lambda s, shop: finance.weekly_trend(s),
+        "discount": lambda s, shop: finance.discount_roi(s),
+        "payment": lambda s, shop: finance.payment_mix(s),
+        "members": lambda s, shop: customers.member_summary(s, shop.users),
+        "rfm": lambda s, shop: customers.rfm_features(s),
+        "cohort": lambda s, shop: customers.cohort_retention(s),
+        "city": lambda s, shop: customers.city_sales(s, shop.users),
+        "clv": lambda s, shop: customers.clv(s, shop.users),
+        "churn": lambda s, shop: customers.churn_risk(s, shop.users),
+        "price": lambda s, shop: customers.price_sensitivity(s),
+        "price by order": lambda s, shop: customers.price_sensitivity(s, count_orders=True),
+        "nps": lambda s, shop: customers.nps_users(s),
+        "nps by order": lambda s, shop: customers.nps_users(s, count_orders=True),
+    }.items(),
+    ids=lambda item: item[0],
+)
+def test_order_rows_give_the_same_tables_as_lines(shop, table):
+    _, make = table
+    from_lines, from_orders = make(shop.sales, shop), make(order_facts(shop.sales), shop)
+    assert from_lines.columns == from_orders.columns
+    assert sorted(map(str, from_lines.collect())) == sorted(map(str, from_orders.collect()))
+
+
 def test_write_and_display(spark, build, tmp_path):
     names = build.write(lambda frame, name: sources.write_table(frame, name, path=str(tmp_path / name)))
     assert len(names) == 35
