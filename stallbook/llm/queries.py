@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallbook.llm import minmax
+from stallbook.llm import minmax, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +19,14 @@ def op4_minmax(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, folder, "documents"), width=2, percent=80)
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assessed(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_minmax": op4_minmax,
+        "op5_quality": op5_quality,
     }
 
 
