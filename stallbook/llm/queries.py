@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallbook.llm import minmax, quality
+from stallbook.llm import minmax, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_minmax(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, folder, "documents"), width=2, percent=80)
 
@@ -25,6 +30,7 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_packing": op1_packing,
         "op4_minmax": op4_minmax,
         "op5_quality": op5_quality,
     }
