@@ -4,10 +4,9 @@ Each random permutation of the shingle hashes gives two signature values, the sm
 permutations fill a signature. Values are banded; a band that two sets share makes them candidates.
 
 Every link is confirmed on the full sets. Equal sets are one class from the start, and only classes are compared. In a
-bucket all classes are compared with the smallest one first (linear in the bucket), and the links found make components.
-What is then left in a bucket are pairs from different components; those whose distances to the bucket's smallest class
-differ by more than the allowed distance cannot be linked (triangle inequality of the Jaccard distance), and all the
-others are confirmed too. So no pair of a bucket goes unexamined and no bucket is capped.
+bucket all classes are compared with one of them first (linear in the bucket), and the links found make components.
+What is then left in a bucket are pairs from different components. Those are compared too, in blocks of sets, each two
+blocks in a task of their own. So no pair of a bucket goes unexamined and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -26,6 +25,8 @@ from stallbook.plans.staging import stage
 # 32 bands of 5 values: a pair at similarity 0.8 shares no band with probability 3e-6, one at 0.1 shares one with 3e-4.
 BANDS, ROWS = 32, 5
 SEED = 1307
+# Classes in a block, and shingles looked at together, when blocks of sets meet.
+_BLOCK, _COLUMNS = 256, 4096
 
 
 def _permutations(count: int) -> np.ndarray:
@@ -86,25 +87,21 @@ def signed(documents: DataFrame, width: int = 2, text: str = "text", key: str =
     return source.mapInArrow(rows_of, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
-def full_sets(documents: DataFrame, width: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, set_key, members): the sorted shingle hashes of each row."""
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(id, members), the sorted shingle hashes, of those rows (doc_id, set_key, text) whose set has that key."""
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            expected = batch.column(1)
+            for block in blocks(batch.column(2)):
                 sets = shingles(find_words(block, NOT_BLANK, LOWER), width)
-                values = np.concatenate([*sets, np.zeros(0, U64)]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(block.first, block.rows),
-                        pa.array([_name(s) for s in sets], pa.binary()),
-                        _lists(values, np.array([len(s) for s in sets])),
-                    ],
-                    ["doc_id", "set_key", "members"],
-                )
+                keep = [i for i, s in enumerate(sets) if _name(s) == expected[block.first + i].as_py()]
+                values = np.concatenate([*(sets[i] for i in keep), np.zeros(0, U64)]).astype(np.int64)
+                ids = batch.column(0).take(pa.array([block.first + i for i in keep], pa.int64()))
+                members = _lists(values, np.array([len(sets[i]) for i in keep], np.int64))
+                yield pa.RecordBatch.from_arrays([ids, members], ["id", "members"])
 
-    source = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(rows_of, "doc_id long, set_key binary, members array<long>")
+    return texts.select("doc_id", "set_key", "text").mapInArrow(rows_of, "id long, members array<long>")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -135,22 +132,70 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, heads: DataFrame, width: int, text: str, key: str) -> DataFrame:
-    """(a, b, common, both) of the pairs (a, b, na, nb): shared shingles of the full sets, and the sum of their sizes.
-
-    The sets of the classes that occur in a pair are computed again from the texts, so sets of the rest are never kept.
-    """
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common, both) of the pairs (a, b): shared shingles of the full sets, and the sum of their sizes."""
     pairs = stage(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    needed = texts.join(wanted, "doc_id", "left_semi")
-    chosen = heads.select(F.col("id").alias("doc_id"), "set_key")
-    sets = full_sets(needed, width).join(chosen, ["doc_id", "set_key"], "left_semi")
-    sets = stage(sets.select("doc_id", "members").dropDuplicates(["doc_id"]), "sets")
-    met = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("of_b")), "b")
-    met = met.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("of_a")), "a")
+    met = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("of_b")), "b")
+    met = met.join(sets.select(F.col("id").alias("a"), F.col("members").alias("of_a")), "a")
     common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
-    return met.select("a", "b", common.alias("common"), (F.col("na") + F.col("nb")).alias("both"))
+    both = (F.size("of_a") + F.size("of_b")).cast("long")
+    return stage(met.select("a", "b", common.alias("common"), both.alias("both")), "tested")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each set on the left shares with each on the right."""
+    every, count = np.unique(np.concatenate(left + right), return_counts=True)
+    every = every[count > 1]
+    result = np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, len(every), _COLUMNS):
+        part = every[low : low + _COLUMNS]
+        marks = []
+        for side in (left, right):
+            mark = np.zeros((len(side), len(part)), dtype=np.float32)
+            for row, members in enumerate(side):
+                inside = members[np.searchsorted(members, part[0]) : np.searchsorted(members, part[-1], side="right")]
+                at = np.searchsorted(part, inside)
+                mark[row, at[part[at] == inside]] = 1
+            marks.append(mark)
+        result += marks[0] @ marks[1].T
+    return result
+
+
+def _between(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of what is compared with one head; a and b are components.
+
+    rest: (head, id, component). The classes of a head are dealt into blocks, and every two blocks meet in a task of
+    their own, which holds two blocks of sets and returns one link for two components at most, not their pairs.
+    """
+    rest = rest.distinct()
+    counted = rest.groupBy("head").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")
+    )
+    dealt = rest.join(counted.where("low < high").select("head", "blocks"), "head")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = stage(
+        dealt.select("head", "id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")),
+        "open",
+    )
+
+    def meet(table: pa.Table) -> pa.Table:
+        block, j = table["block"].to_numpy(), table["j"][0].as_py()
+        component = table["component"].to_numpy()
+        own = [np.sort(m.values.to_numpy()) for m in table["members"]]
+        first = np.flatnonzero(block == table["i"][0].as_py())
+        second = np.flatnonzero(block == j)
+        pairs = set()
+        if len(first) and len(second):
+            common = _common([own[k] for k in first], [own[k] for k in second]).astype(np.int64)
+            sizes = np.array([len(m) for m in own])
+            union = sizes[first][:, None] + sizes[second][None, :] - common
+            linked = (100 * common >= percent * union) & (component[first][:, None] != component[second][None, :])
+            for x, y in zip(*np.nonzero(linked), strict=True):
+                pairs.add(tuple(sorted((int(component[first[x]]), int(component[second[y]])))))
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return dealt.join(sets, "id").groupBy("head", "i", "j").applyInArrow(meet, "a long, b long")
 
 
 def near_duplicates(
@@ -171,57 +216,29 @@ def near_duplicates(
     class_of = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("id")), "classes")
     heads = class_of.groupBy("id").agg(F.min("set_key").alias("set_key"))
     buckets = (
-        named.select("set_key", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands")
+        named.select("set_key", F.col("doc_id").alias("id"), "bands")
         .join(heads, ["set_key", "id"], "left_semi")
-        .select("id", "n", F.explode("bands").alias("bucket"))
-    )
-    firsts = buckets.groupBy("bucket").agg(
-        F.min(F.struct("id", "n")).alias("first"), F.count("*").alias("members")
-    ).where("members > 1")
-    met = stage(
-        buckets.join(firsts, "bucket").select(
-            "bucket", "id", "n", F.col("first.id").alias("head"), F.col("first.n").alias("head_n"), "members"
-        ),
-        "buckets",
-    )
-
-    def fits(a, b):
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
-
-    star = met.where("id > head")
-    fit = star.where(fits(F.col("n"), F.col("head_n")))
-    asked = fit.select(F.col("head").alias("a"), F.col("id").alias("b"), F.col("head_n").alias("na"), F.col("n").alias("nb"))
-    tested = stage(_confirmed(asked, documents, heads, width, text, key), "tested")
-    linked = _links(tested, percent)
-    nodes = met.select("id").distinct()
-    joined = stage(components(nodes, linked), "components")
-
-    # What the comparison with the first of each bucket leaves open, in buckets with more than one component.
-    rest = met.where("members > 2 and id > head").join(joined, "id")
-    mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.where("low < high").select("bucket")
-    similarity = tested.select(F.col("a").alias("head"), F.col("b").alias("id"), (F.col("common") / (F.col("both") - F.col("common"))).alias("near"))
-    open_rows = (
-        rest.join(mixed, "bucket", "left_semi")
-        .join(similarity, ["head", "id"], "left")
-        .select("bucket", "id", "n", "component", "near")
-    )
-    left = open_rows.select("bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("near").alias("sa"))
-    right = open_rows.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("near").alias("sb"))
-    apart = F.abs(F.col("sa") - F.col("sb")) > 1.0 - percent / 100.0 + 1e-9
-    more = (
-        left.join(right, "bucket")
-        .where("a < b and ca <> cb")
-        .where(fits(F.col("na"), F.col("nb")))
-        .where(~F.coalesce(apart, F.lit(False)))
-        .select("a", "b", "na", "nb")
-    )
-    late = _links(_confirmed(more, documents, heads, width, text, key), percent)
-    over = late.join(joined.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a")
-    over = over.join(joined.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b")
-    second = components(
-        joined.select(F.col("component").alias("id")).distinct(), over.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        .select("id", F.explode("bands").alias("bucket"))
     )
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    met = stage(buckets.join(sizes, "bucket"), "buckets")
+
+    wanted = met.select("id").distinct().join(heads, "id").select(F.col("id").alias("doc_id"), "set_key")
+    texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # the wanted ids grow with the corpus: they are matched by a shuffle at every size
+    sets = stage(full_sets(texts.join(wanted.hint("merge"), "doc_id").distinct(), width), "sets")
+
+    # the head of a bucket is the member with the most company, which is the likeliest to be near the others
+    company = met.groupBy("id").agg(F.sum("members").alias("company"))
+    ranked = met.join(company, "id").groupBy("bucket").agg(F.max(F.struct("company", "id")).alias("head"))
+    star = stage(met.join(ranked, "bucket").select("bucket", "id", F.col("head.id").alias("head")), "star").where("id <> head")
+    asked = star.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b"))
+    tested = _confirmed(asked, sets)
+    joined = stage(components(met.select("id").distinct(), _links(tested, percent)), "components")
+
+    # what the comparison with the heads leaves open
+    rest = star.join(joined, "id").select("head", "id", "component")
+    second = components(joined.select(F.col("component").alias("id")).distinct(), _between(rest, sets, percent))
     final = joined.join(second.select(F.col("id").alias("component"), F.col("component").alias("lowest")), "component").select(
         "id", F.col("lowest").alias("found")
     )
