@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallbook.llm import minmax, packing, quality
+from stallbook.llm import minmax, mixing, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,11 +28,17 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assessed(_table(spark, folder, "documents"))
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixing.mixed(_table(spark, folder, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op4_minmax": op4_minmax,
         "op5_quality": op5_quality,
+        "op8_mixing": op8_mixing,
     }
 
 
