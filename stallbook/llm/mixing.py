@@ -7,13 +7,12 @@ both totals stay as they are, until a step lands on a face of the cube and a uni
 
 The flight runs in blocks of bounded size, made by a hash of the document, so a source of any size is spread over all
 tasks. A block leaves at most two undecided documents; these meet again in blocks, level by level, until a source has
-one block. Its last two documents are landed by the rounding that leaves the word total nearest to its target.
+one block. Its last documents are landed: of all ways to round them one that leaves the word total nearest to its target.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,6 +25,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 BLOCK_ROWS = 4096
+# Documents of a source, of all sizes, that stay out of its last flight and are decided by the landing.
+LANDING = 10
 SEED = 88172645
 _ALMOST = 1e-9
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -102,14 +103,15 @@ def _flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
 
 
 def _land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Decide the last fractions: of all their zero-one patterns one whose words come nearest to what is due."""
+    """Decide the last fractions: of all their zero-one patterns one whose words, then documents, are nearest to what is due."""
     free = np.flatnonzero((p > 0) & (p < 1))
-    due = float((p[free] * size[free]).sum())
-    patterns = [[(n >> b) & 1 for b in range(len(free))] for n in range(1 << len(free))]
-    misses = [abs(float(np.dot(x, size[free])) - due) for x in patterns]
-    best = [x for x, m in zip(patterns, misses, strict=True) if m <= min(misses) + _ALMOST]
+    patterns = (np.arange(1 << len(free))[:, None] >> np.arange(len(free))) & 1
+    off_words = np.abs(patterns @ size[free] - p[free] @ size[free])
+    off_count = np.abs(patterns.sum(axis=1) - p[free].sum())
+    best = np.flatnonzero(off_words <= off_words.min() + 1e-6)
+    best = best[off_count[best] <= off_count[best].min() + 1e-6]
     p = p.copy()
-    p[free] = best[int(rng.integers(len(best)))]
+    p[free] = patterns[best[int(rng.integers(len(best)))]]
     return p
 
 
@@ -117,11 +119,15 @@ def _level(units: DataFrame, label: str, last: bool) -> DataFrame:
     """One flight in every block (group, block) of the units (group, block, unit, size, p)."""
 
     def fly(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["unit", "size", "p"], kind="stable")
+        block = block.sort_values(["size", "unit", "p"], kind="stable")
         rng = np.random.default_rng([SEED, int(block["group"].iloc[0]) % 2**63, int(block["block"].iloc[0])])
         p, size = block["p"].to_numpy(float), block["size"].to_numpy(float)
-        p = _flight(p, size, rng)
-        return block.assign(p=_land(p, size, rng) if last else p)
+        if not last:
+            return block.assign(p=_flight(p, size, rng))
+        spaced = np.unique(np.linspace(0, len(p) - 1, LANDING).astype(int))
+        flying = np.setdiff1d(np.arange(len(p)), spaced)
+        p[flying] = _flight(p[flying], size[flying], rng)
+        return block.assign(p=_land(p, size, rng))
 
     return stage(units.groupBy("group", "block").applyInPandas(fly, units.schema), label)
 
