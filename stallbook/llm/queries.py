@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallbook.llm import minmax, mixing, packing, quality
+from stallbook.llm import langid, minmax, mixing, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,12 +33,17 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.labelled(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op4_minmax": op4_minmax,
         "op5_quality": op5_quality,
         "op8_mixing": op8_mixing,
+        "op9_langid": op9_langid,
     }
 
 
