@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stallbook.llm import langid, minmax, mixing, packing, quality
+from stallbook.llm import langid, minmax, mixing, neighbours, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,10 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assessed(_table(spark, folder, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.mixed(_table(spark, folder, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -42,10 +47,27 @@ def queries() -> dict[str, Query]:
         "op1_packing": op1_packing,
         "op4_minmax": op4_minmax,
         "op5_quality": op5_quality,
+        "op7_neighbours": op7_neighbours,
         "op8_mixing": op8_mixing,
         "op9_langid": op9_langid,
     }
 
 
+NEIGHBOURS_SQL = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), normed AS (
+  SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM usable
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v) / (q.n * c.n) AS score
+  FROM normed q JOIN normed c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def statements() -> dict[str, str]:
     return {}
