@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import langid, minmax, mixing, neighbours, packing, quality
+from stallbook.llm import langid, minmax, mixing, neighbours, packing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.labelled(_table(spark, folder, "documents"))
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digested(secrets.scanned(_table(spark, folder, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -50,6 +54,7 @@ def queries() -> dict[str, Query]:
         "op7_neighbours": op7_neighbours,
         "op8_mixing": op8_mixing,
         "op9_langid": op9_langid,
+        "op10_secrets": op10_secrets,
     }
 
 
