@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import langid, minmax, mixing, neighbours, packing, quality, secrets
+from stallbook.llm import langid, minmax, mixing, neighbours, packing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assessed(_table(spark, folder, "documents"))
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.found_in(_table(spark, folder, "documents"))
+
+
 def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Query]:
         "op1_packing": op1_packing,
         "op4_minmax": op4_minmax,
         "op5_quality": op5_quality,
+        "op6_pii": op6_pii,
         "op7_neighbours": op7_neighbours,
         "op8_mixing": op8_mixing,
         "op9_langid": op9_langid,
