@@ -1,14 +1,80 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes the documents that its predecessor kept, written as Parquet and read again. Columns of the documents:
+doc_id, text, lang, source, n_chars.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stallbook.llm import boilerplate, minmax, mixing, packing, quality
+from stallbook.plans.staging import stage
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_SHINGLE, _PERCENT = 5, 80
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the limits of their language and source."""
+    return quality.passed(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the lines that are boilerplate of their source; a document of nothing else goes."""
+    rest = boilerplate.without_boilerplate(docs, "source", "text", dropped="__dropped")
+    emptied = (F.col("__dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return rest.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest doc_id. Repeated rows are one."""
+    found = minmax.near_duplicates(docs, width=_SHINGLE, percent=_PERCENT)
+    gone = stage(found.where(~F.col("kept")).select("doc_id").distinct(), "near-duplicates")
+    return docs.join(gone, "doc_id", "left_anti").distinct().select(*docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice."""
+    taken = mixing.mixed(docs).select("doc_id", "source", "size", "copies")
+    # rows that agree in id, source and size take their copies together
+    taken = stage(taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix")
+    names = {c: f"__{c}" for c in taken.columns}
+    t = taken.withColumnsRenamed(names)
+    sized = docs.withColumn("__n", mixing.words_in("text"))
+    met = sized.join(
+        t,
+        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__size")),
+    )
+    each = F.sequence(F.lit(1), F.ceil(F.col("__copies") / F.col("__rows")).cast("int"))
+    times = F.explode(F.when(F.col("__copies") > 0, each).otherwise(F.array().cast("array<int>")))
+    return met.withColumn("__time", times).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 4096 tokens."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
+    ("source mix", source_mix),
+    ("packing", pack),
+]
 
-STAGES = []
+# Tokens and sampling have no SQL form: the stages are tested against plain versions instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents of the folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -74,13 +74,22 @@ def _tiles(vectors: DataFrame, key: str, vector: str, rows: int) -> DataFrame:
     return source.mapInArrow(pack, _TILES)
 
 
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of columns, added up dimension by dimension: unlike a matrix product, equal vectors get equal numbers."""
+    total = np.zeros(a.shape[1])
+    for x, y in zip(a, b, strict=True):
+        total += x * y
+    return total
+
+
 class _Tile:
     """A tile with what its int8 form lacks: codes * step + error = unit vector."""
 
     def __init__(self, ids: bytes, raw: bytes, size: int):
         self.ids = np.frombuffer(ids, "<i8")
         self.raw = np.frombuffer(raw, "<f8").reshape(-1, size)
-        self.norm = np.sqrt((self.raw * self.raw).sum(axis=1))
+        self.columns = np.ascontiguousarray(self.raw.T)
+        self.norm = np.sqrt(_dots(self.columns, self.columns))
         unit = self.raw / self.norm[:, None]
         self.step = np.abs(unit).max(axis=1) / 127
         codes = np.rint(unit / self.step[:, None])
@@ -125,8 +134,7 @@ class _Heaps:
 
     def _merge(self, x: np.ndarray, y: np.ndarray, other: _Tile) -> None:
         q = self.queries
-        # a sum along rows, unlike a matrix product, gives equal vectors equal scores
-        score = (q.raw[x] * other.raw[y]).sum(axis=1) / (q.norm[x] * other.norm[y])
+        score = _dots(q.columns[:, x], other.columns[:, y]) / (q.norm[x] * other.norm[y])
         touched = np.unique(x)
         score = np.concatenate([score, self.score[touched].ravel()])
         ids = np.concatenate([other.ids[y], self.ids[touched].ravel()])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import langid, minmax, mixing, neighbours, packing, pii, quality, secrets
+from stallbook.llm import boilerplate, langid, licenses, minmax, mixing, neighbours, packing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,17 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_boilerplate(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select(
+        "page_id", boilerplate.host_of(F.col("url")).alias("host"), boilerplate.lines_of_html(F.col("html")).alias("text")
+    )
+    return boilerplate.without_boilerplate(pages, "host", "text", dropped="n_dropped")
+
+
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(_table(spark, folder, "documents"))
+
+
 def op4_minmax(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, folder, "documents"), width=2, percent=80)
 
@@ -53,6 +64,8 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op2_boilerplate": op2_boilerplate,
+        "op3_licenses": op3_licenses,
         "op4_minmax": op4_minmax,
         "op5_quality": op5_quality,
         "op6_pii": op6_pii,
@@ -63,6 +76,39 @@ def queries() -> dict[str, Query]:
     }
 
 
+BOILERPLATE_SQL = r"""
+WITH bare AS (
+  SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+    regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g') AS html
+  FROM pages
+), texts AS (
+  SELECT page_id, host,
+    regexp_replace(regexp_replace(html, '<[^>]*>', chr(10), 'g'), '[ \t\r]*\n[ \t\r\n]*', chr(10), 'g') AS text,
+    row_number() OVER () AS page
+  FROM bare
+), lines AS (
+  SELECT page, host, u.line, u.n, trim(u.line, ' ' || chr(9) || chr(13)) AS bare
+  FROM texts, LATERAL (
+    SELECT unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
+  ) u
+), first_pages AS (
+  SELECT host, min(page) AS page FROM texts WHERE host IS NOT NULL GROUP BY host, text
+), totals AS (
+  SELECT host, count(*) AS pages FROM first_pages GROUP BY host
+), frequent AS (
+  SELECT l.host, l.bare FROM lines l JOIN first_pages f ON l.page = f.page JOIN totals t ON l.host = t.host
+  WHERE l.bare <> '' GROUP BY l.host, l.bare, t.pages
+  HAVING count(DISTINCT l.page) >= 5 AND count(DISTINCT l.page) > t.pages * 0.1
+), kept AS (
+  SELECT l.page, string_agg(l.line, chr(10) ORDER BY l.n) FILTER (WHERE f.bare IS NULL) AS text,
+    count(f.bare) AS n_dropped
+  FROM lines l LEFT JOIN frequent f ON l.host = f.host AND l.bare = f.bare GROUP BY l.page
+)
+SELECT t.page_id, t.host, CASE WHEN t.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+  coalesce(k.n_dropped, 0)::BIGINT AS n_dropped
+FROM texts t LEFT JOIN kept k ON t.page = k.page
+"""
+
 NEIGHBOURS_SQL = """
 WITH usable AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
@@ -80,4 +126,4 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_boilerplate": BOILERPLATE_SQL, "op7_neighbours": NEIGHBOURS_SQL}
