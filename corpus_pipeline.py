@@ -34,8 +34,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest doc_id. Repeated rows are one."""
     found = minmax.near_duplicates(docs, width=_SHINGLE, percent=_PERCENT)
-    gone = stage(found.where(~F.col("kept")).select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").distinct().select(*docs.columns)
+    kinds = found.groupBy("doc_id").agg(F.bool_and("kept").alias("stays"), F.count("*").alias("rows"))
+    odd = stage(kinds.where("doc_id is not null and (not stays or rows > 1)"), "near-duplicates")
+    single = docs.join(odd, "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.join(odd.where("stays"), "doc_id", "left_semi").select(*docs.columns).distinct()
+    return single.union(repeated)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

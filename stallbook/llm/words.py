@@ -126,7 +126,7 @@ def find_words(block: Block, inside: np.ndarray = NOT_BLANK, fold: np.ndarray =
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:
     """A hash for the k words from each position on; the last k-1 positions are left out."""
     n = len(hashes) - k + 1
-    if n <= 0:
+    if n <= 0 or k < 1:
         return np.zeros(0, U64)
     value = np.full(n, k, dtype=U64) * _STEP
     for j in range(k):
