@@ -44,7 +44,8 @@ class Templates:
         """(first bigram, last bigram, dice) of the passages of one template, from left to right, not overlapping.
 
         at: positions of the template's bigrams, ids: which they are; every: all bigrams; stop: for each position the
-        end of its row. Of the passages from the first starting point that reaches the threshold the best is taken.
+        end of its row. Of the passages from the first starting point that reaches the threshold the best
+        is taken, of equal ones the longest.
         """
         last = np.minimum(np.searchsorted(at, at + self.most[template]), np.searchsorted(at, stop))
         done = -1
@@ -61,7 +62,7 @@ class Templates:
             fresh = np.zeros(len(ends), dtype=np.int64)
             fresh[first_hit] = 1
             dice = 2 * np.cumsum(fresh) / (distinct[ends] + self.sizes[template])
-            best = int(np.argmax(dice))
+            best = len(dice) - 1 - int(np.argmax(dice[::-1]))
             if dice[best] >= self.threshold - 1e-12:
                 done = at[i] + ends[best]
                 yield int(at[i]), int(done), float(dice[best])
