@@ -25,8 +25,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 BLOCK_ROWS = 4096
-# Documents of a source, of all sizes, that stay out of its last flight and are decided by the landing.
-LANDING = 10
+# Documents of a source, of all sizes, that stay out of its flights and are decided by the landing.
+LANDING = 14
 SEED = 88172645
 _ALMOST = 1e-9
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -116,37 +116,39 @@ def _land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarr
 
 
 def _level(units: DataFrame, label: str, last: bool) -> DataFrame:
-    """One flight in every block (group, block) of the units (group, block, unit, size, p)."""
+    """One flight in every block (group, block) of the units (group, block, unit, size, p, late)."""
 
     def fly(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["size", "unit", "p"], kind="stable")
         rng = np.random.default_rng([SEED, int(block["group"].iloc[0]) % 2**63, int(block["block"].iloc[0])])
-        p, size = block["p"].to_numpy(float), block["size"].to_numpy(float)
-        if not last:
-            return block.assign(p=_flight(p, size, rng))
-        spaced = np.unique(np.linspace(0, len(p) - 1, LANDING).astype(int))
-        flying = np.setdiff1d(np.arange(len(p)), spaced)
+        p, size, late = block["p"].to_numpy(float).copy(), block["size"].to_numpy(float), np.flatnonzero(block["late"])
+        if last and len(late) > LANDING:
+            late = late[np.unique(np.linspace(0, len(late) - 1, LANDING).astype(int))]
+        flying = np.setdiff1d(np.arange(len(p)), late)
         p[flying] = _flight(p[flying], size[flying], rng)
-        return block.assign(p=_land(p, size, rng))
+        return block.assign(p=_land(p, size, rng) if last else p)
 
     return stage(units.groupBy("group", "block").applyInPandas(fly, units.schema), label)
 
 
 def sampled(units: DataFrame) -> DataFrame:
-    """(group, block, unit, size, p) with p decided, from units (group long, unit long, size long, p double).
+    """(group, unit, size, p) with p decided, from units (group long, unit long, size long, p double).
 
-    Units whose p is 0 or 1 already stay so. Units of a group that agree in unit, size and p are exchangeable.
+    About LANDING units of a group, chosen by a hash, wait for the landing. Units of a group that agree in unit, size
+    and p are exchangeable.
     """
     done, level, last = None, 0, False
     counts = stage(units.groupBy("group").count(), "mix-groups")
+    waits = F.pmod(F.xxhash64("unit", "size", F.lit(SEED)), F.col("count")) < LANDING
+    units = units.join(counts, "group").select("group", "unit", "size", "p", waits.alias("late"))
     while not last:
         blocks = F.ceil(F.col("count") / BLOCK_ROWS).cast("int")
         largest = counts.agg(F.max(F.col("count")).alias("n")).first()["n"] or 0
         last = largest <= BLOCK_ROWS
         block = F.pmod(F.xxhash64(F.lit(level), "group", "unit", "size"), F.greatest(blocks, F.lit(1))).cast("long")
-        placed = units.join(counts, "group").select("group", block.alias("block"), "unit", "size", "p")
+        placed = units.join(counts, "group").select("group", block.alias("block"), "unit", "size", "p", "late")
         flown = _level(placed, f"mix-level{level}", last)
-        decided = flown.where("p = 0 or p = 1")
+        decided = flown.where("p = 0 or p = 1").drop("block", "late")
         done = decided if done is None else done.union(decided)
         units = flown.where("p > 0 and p < 1").drop("block")
         if not last:
@@ -193,7 +195,7 @@ def mixed(
     open_rows = stage(wanted.where("size > 0 and p > 0").withColumn("twin", F.row_number().over(twins)), "mix-open")
     settled = wanted.where("size = 0 or p = 0")
     drawn = sampled(open_rows.select("group", "unit", "size", "p"))
-    drawn = drawn.select("*", F.row_number().over(twins.orderBy("p")).alias("twin")).withColumnRenamed("p", "extra").drop("block")
+    drawn = drawn.select("*", F.row_number().over(twins.orderBy("p")).alias("twin")).withColumnRenamed("p", "extra")
     out = open_rows.join(drawn, ["group", "unit", "size", "twin"]).withColumn("copies", F.col("whole") + F.col("extra").cast("long"))
     out = out.drop("twin", "extra").unionByName(settled.withColumn("copies", F.when(F.col("size") > 0, F.col("whole")).otherwise(0)))
     copies = F.col("copies").cast("long")
