@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 _SLICE = 1 << 20
 # Words and word parts remembered by a Python worker, at about 180 bytes each.
-_WORDS, _PARTS = 600_000, 1_000_000
+_WORDS, _PARTS = 200_000, 300_000
 # Characters whose normal form is themselves and whose lower case is one character; no white space among them.
 _PLAIN = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
 _SPECIAL = b"<|"
