@@ -10,11 +10,12 @@ from .calendar import (
     weekday_name,
     weekday_number,
 )
-from .numeric import MONEY, half_up, money, percent, ratio, sum_money
+from .numeric import MONEY, as_column, half_up, money, percent, ratio, sum_amount, sum_money
 from .text import compact_number, joined, ordinal_of
 
 __all__ = [
     "MONEY",
+    "as_column",
     "band",
     "compact_number",
     "flag_count",
@@ -27,6 +28,7 @@ __all__ = [
     "ordinal_of",
     "percent",
     "ratio",
+    "sum_amount",
     "sum_money",
     "tier",
     "time_of_day",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 _ROUNDING = "decimal(38,12)"
@@ -32,6 +33,22 @@ def sum_money(value: Column | str) -> Column:
     return (F.sum(cents) * F.lit(Decimal("0.01"))).cast("decimal(21,2)")
 
 
+def sum_amount(frame: DataFrame, amount: str, where: Column | None = None) -> Column:
+    """Exact sum of a column at its own scale, optionally of some rows only.
+
+    Declared cents take the fast path of ``sum_money``. A binary floating-point
+    amount is added as decimal with ten places, so that the order of the rows
+    does not matter.
+    """
+    kind = frame.schema[amount].dataType
+    value = F.col(amount) if where is None else F.when(where, F.col(amount))
+    if isinstance(kind, T.DecimalType):
+        return sum_money(value) if kind.scale <= 2 else F.sum(value)
+    if isinstance(kind, T.IntegralType):
+        return F.sum(value)
+    return F.sum(value.cast("decimal(28,10)"))
+
+
 def ratio(part: Column | str, whole: Column | str) -> Column:
     """part / whole as double; NULL when whole is zero or NULL."""
     return F.try_divide(as_column(part).cast("double"), as_column(whole).cast("double"))

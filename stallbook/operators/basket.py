@@ -15,7 +15,10 @@ def baskets(sales: DataFrame, by: str = "user_id", item: str = "name") -> DataFr
     """Distinct items per user or order.
 
     Repeats are removed while the set is built on the map side, so a basket is
-    bounded by the list of items, not by the number of lines.
+    bounded by the list of items, not by the number of lines. One basket is one
+    array in one task: where a user may hold a large share of a large
+    catalogue, group by order, or take brands or categories as items; items are
+    never cut.
     """
     return sales.groupBy(by).agg(F.collect_set(item).alias("items"))
 
@@ -34,15 +37,16 @@ def association_rules(
     model = miner.fit(stage(groups.select("items"), "baskets"))
     # rule generation reads the itemsets several times and would mine them each time
     itemsets = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
-    rules = stage(
-        model.associationRules.select(
-            joined("antecedent").alias("antecedent"),
-            joined("consequent").alias("consequent"),
-            "confidence",
-            "lift",
-            "support",
-        ),
-        "rules",
-    )
-    itemsets.unpersist()
-    return rules
+    try:
+        return stage(
+            model.associationRules.select(
+                joined("antecedent").alias("antecedent"),
+                joined("consequent").alias("consequent"),
+                "confidence",
+                "lift",
+                "support",
+            ),
+            "rules",
+        )
+    finally:
+        itemsets.unpersist()

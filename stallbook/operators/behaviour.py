@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import half_up, ratio, sum_money, weekday_name, weekday_number
+from ..functions import half_up, ratio, sum_amount, weekday_name, weekday_number
 
 
 def daily_event_funnel(clicks: DataFrame, when: str = "timestamp") -> DataFrame:
@@ -45,19 +45,19 @@ def weekday_hour_heatmap(
     """Rows and revenue per weekday and hour."""
     return facts.groupBy(
         weekday_name(when).alias("day_of_week"), F.hour(when).alias("hour_of_day")
-    ).agg(F.count(key).alias("order_count"), sum_money(amount).alias("total_revenue"))
+    ).agg(F.count(key).alias("order_count"), sum_amount(facts, amount).alias("total_revenue"))
 
 
 def weekday_seasonality(facts: DataFrame, when: str = "order_date", amount: str = "line_revenue") -> DataFrame:
     """Revenue per weekday, Monday first by weekday_order."""
     return facts.groupBy(
         weekday_name(when).alias("weekday"), weekday_number(when).alias("weekday_order")
-    ).agg(sum_money(amount).alias("total_revenue"))
+    ).agg(sum_amount(facts, amount).alias("total_revenue"))
 
 
 def hour_seasonality(facts: DataFrame, when: str = "order_date", amount: str = "line_revenue") -> DataFrame:
     """Revenue per hour of day."""
-    return facts.groupBy(F.hour(when).alias("hour")).agg(sum_money(amount).alias("total_revenue"))
+    return facts.groupBy(F.hour(when).alias("hour")).agg(sum_amount(facts, amount).alias("total_revenue"))
 
 
 def funnel_conversion(

@@ -71,28 +71,30 @@ def rfm_features(sales: DataFrame, as_of: Column | None = None, count_lines: boo
     )
 
 
-def rfm_clusters(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
+def rfm_clusters(rfm: DataFrame, k: int = 5, seed: int = 42, partitions: int = 16) -> DataFrame:
     """Cluster number per user: standardised features, k-means.
 
-    Runs jobs: the features are staged once and read by both fits. They are
-    laid out by user so that the seeded start does not depend on the run.
+    Runs jobs: the features are staged once and read by both fits. The seeded
+    start depends on how the users are laid out, so ``partitions`` belongs to
+    the seed: the layout follows the user and this number, not the session.
+    Fewer than two users cannot be clustered, which is an error; MLlib cannot
+    look for more than two clusters in two points, so two users are two.
     """
     features = ["recency", "frequency", "monetary"]
     numeric = rfm.select("user_id", *(F.col(name).cast("double").alias(name) for name in features))
-    parts = int(rfm.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    staged = stage(numeric.repartition(parts, "user_id").sortWithinPartitions("user_id"), "rfm")
-    # k-means needs two clusters at least and no more of them than users
-    users = staged.limit(k).count()
+    staged = stage(numeric, "rfm")
+    users = staged.limit(3).count()
     if users < 2:
-        return staged.withColumn("prediction", F.lit(0))
+        raise ValueError("k-means needs two users at least")
+    placed = staged.repartition(partitions, "user_id").sortWithinPartitions("user_id")
     steps = Pipeline(
         stages=[
             VectorAssembler(inputCols=features, outputCol="features"),
             StandardScaler(inputCol="features", outputCol="scaled", withStd=True, withMean=True),
-            KMeans(featuresCol="scaled", predictionCol="prediction", k=users, seed=seed),
+            KMeans(featuresCol="scaled", predictionCol="prediction", k=k if users > 2 else 2, seed=seed),
         ]
     )
-    return steps.fit(staged).transform(staged).select("user_id", *features, "prediction")
+    return steps.fit(placed).transform(staged).select("user_id", *features, "prediction")
 
 
 def cluster_profile(clusters: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import band, half_up, money, ratio, sum_money, time_of_day
+from ..functions import as_column, band, half_up, ratio, sum_amount, time_of_day
 from ..plans.ranking import moving_average
 
 # Latency classes in milliseconds and the pass mark of a load step.
@@ -66,15 +66,15 @@ def live_kpis(
     def last(interval: str) -> Column:
         return F.col(when) > now - F.expr(f"INTERVAL {interval}")
 
-    valued = orders.select(when, user, money(amount).alias("_amount"))
+    valued = orders.select(when, user, as_column(amount).alias("_amount"))
     figures = valued.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.count_if(last("1 HOUR")).alias("hourly_orders"),
         F.count_if(last("5 MINUTES")).alias("min5_orders"),
         F.max(F.when(last("1 HOUR"), F.col(when))).alias("last_order"),
-        F.coalesce(sum_money(F.when(last("24 HOURS"), F.col("_amount"))), F.lit(0)).alias("daily_revenue"),
+        F.coalesce(sum_amount(valued, "_amount", last("24 HOURS")), F.lit(0)).alias("daily_revenue"),
         F.count_distinct(user).alias("unique_customers"),
-        F.coalesce(ratio(sum_money("_amount"), F.count("_amount")), F.lit(0.0)).alias("avg_order_value"),
+        F.coalesce(ratio(sum_amount(valued, "_amount"), F.count("_amount")), F.lit(0.0)).alias("avg_order_value"),
     )
     return figures.withColumn("tx_per_sec", ratio("min5_orders", F.lit(300)))
 
@@ -161,6 +161,10 @@ def latest_rows(table: DataFrame, by: str, n: int = 100) -> DataFrame:
 
 
 def order_line_sample(orders: DataFrame, items: DataFrame, n: int = 100) -> DataFrame:
-    """n joined order lines (a probe query), the same ones in every run."""
-    joined = orders.join(items, "order_id")
-    return joined.orderBy(*items.columns).limit(n)
+    """n joined order lines (a probe query), the same ones in every run.
+
+    The order is on columns of the lines, and each line has its order by the
+    source's foreign key, so the lines are cut to n before they meet the orders.
+    """
+    first = items.orderBy(*items.columns).limit(n)
+    return orders.join(first, "order_id").orderBy(*items.columns)

@@ -64,7 +64,11 @@ def finance_points(monthly: DataFrame) -> DataFrame:
 
 
 def churn_points(churn: DataFrame, rfm: DataFrame) -> DataFrame:
-    """Recency, frequency, spend and risk code per user with a purchase."""
+    """Recency, frequency, spend and risk code per user with a purchase.
+
+    Give both tables the same order rows (``order_facts``, staged): the lines
+    are then read once.
+    """
     return churn.select("user_id", "name", "churn_risk").join(rfm, "user_id").select(
         F.col("name").alias("label"),
         F.col("recency").alias("x"),

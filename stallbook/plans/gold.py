@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -104,8 +104,10 @@ class GoldBuild:
         return write_all(self.tables, writer)
 
 
-def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True) -> GoldBuild:
-    """Define every gold table.
+def build_gold(
+    bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True, only: Collection[str] | None = None
+) -> GoldBuild:
+    """Define every gold table, or only those named.
 
     The sales fact is written once, and from it one row per order. Tables about
     orders and users read the order rows, the others the columns they need of
@@ -126,52 +128,54 @@ def build_gold(bronze: Bronze, rules: Rules = Rules(), include_ml: bool = True)
     rfm = customers.rfm_features(orders, today)
     daily_events = behaviour.daily_event_funnel(bronze.clicks)
 
-    tables = {
-        "gold_sales_performance": finance.sales_by_category(sales),
-        "gold_daily_events": daily_events,
-        "gold_finance": finance.daily_finance(sales),
-        "gold_inventory": products.product_performance(sales, bronze.products),
-        "gold_members": customers.member_summary(orders, bronze.users),
-        "gold_funnel": daily_events,
-        "gold_finance_pl": finance.monthly_pl(order_rollup(orders), finance.monthly_refunds(bronze.returns)),
-        "gold_category": finance.category_performance(sales),
-        "gold_inventory_v2": products.inventory_health(sales, bronze.products, bronze.suppliers),
-        "gold_cohort": customers.cohort_retention(orders),
-        "gold_returns": products.returns_breakdown(bronze.returns, bronze.products),
-        "gold_return_rate": products.return_rate(sales, bronze.returns, bronze.products),
-        "gold_supplier": products.supplier_scorecard(bronze.purchase_orders, bronze.suppliers, rules.received),
-        "gold_weekly_sales": finance.weekly_trend(orders),
-        "gold_funnel_v2": daily_events,
-        "gold_channel": behaviour.channel_attribution(bronze.clicks),
-        "gold_device": behaviour.device_breakdown(bronze.clicks),
-        "gold_support": behaviour.support_summary(bronze.tickets),
-        "gold_abc": products.abc_pareto(sales, bronze.products),
-        "gold_brand": products.brand_performance(sales, bronze.returns, bronze.products),
-        "gold_discount": finance.discount_roi(orders),
-        "gold_hourly": behaviour.weekday_hour_heatmap(sales),
-        "gold_payment": finance.payment_mix(orders),
-        "gold_city": customers.city_sales(orders, bronze.users),
-        "gold_clv": customers.clv(orders, bronze.users, rules.clv_tiers, today),
-        "gold_churn": customers.churn_risk(
+    tables: dict[str, Callable[[], DataFrame]] = {
+        "gold_sales_performance": lambda: finance.sales_by_category(sales),
+        "gold_daily_events": lambda: daily_events,
+        "gold_finance": lambda: finance.daily_finance(sales),
+        "gold_inventory": lambda: products.product_performance(sales, bronze.products),
+        "gold_members": lambda: customers.member_summary(orders, bronze.users),
+        "gold_funnel": lambda: daily_events,
+        "gold_finance_pl": lambda: finance.monthly_pl(order_rollup(orders), finance.monthly_refunds(bronze.returns)),
+        "gold_category": lambda: finance.category_performance(sales),
+        "gold_inventory_v2": lambda: products.inventory_health(sales, bronze.products, bronze.suppliers),
+        "gold_cohort": lambda: customers.cohort_retention(orders),
+        "gold_returns": lambda: products.returns_breakdown(bronze.returns, bronze.products),
+        "gold_return_rate": lambda: products.return_rate(sales, bronze.returns, bronze.products),
+        "gold_supplier": lambda: products.supplier_scorecard(bronze.purchase_orders, bronze.suppliers, rules.received),
+        "gold_weekly_sales": lambda: finance.weekly_trend(orders),
+        "gold_funnel_v2": lambda: daily_events,
+        "gold_channel": lambda: behaviour.channel_attribution(bronze.clicks),
+        "gold_device": lambda: behaviour.device_breakdown(bronze.clicks),
+        "gold_support": lambda: behaviour.support_summary(bronze.tickets),
+        "gold_abc": lambda: products.abc_pareto(sales, bronze.products),
+        "gold_brand": lambda: products.brand_performance(sales, bronze.returns, bronze.products),
+        "gold_discount": lambda: finance.discount_roi(orders),
+        "gold_hourly": lambda: behaviour.weekday_hour_heatmap(sales),
+        "gold_payment": lambda: finance.payment_mix(orders),
+        "gold_city": lambda: customers.city_sales(orders, bronze.users),
+        "gold_clv": lambda: customers.clv(orders, bronze.users, rules.clv_tiers, today),
+        "gold_churn": lambda: customers.churn_risk(
             orders, bronze.users, rules.churn_days, rules.dormant_days, today
         ),
-        "gold_price_sensitivity": customers.price_sensitivity(orders, low, mid, high, many, few),
-        "gold_journey": behaviour.funnel_conversion(bronze.clicks, rules.stages),
-        "gold_affinity": products.category_affinity(sales),
-        "gold_nps": customers.nps_segments(customers.nps_users(orders, rules.promoter, rules.passive)),
-        "gold_seasonality_weekly": behaviour.weekday_seasonality(orders, amount="revenue"),
-        "gold_seasonality_hour": behaviour.hour_seasonality(orders, amount="revenue"),
+        "gold_price_sensitivity": lambda: customers.price_sensitivity(orders, low, mid, high, many, few),
+        "gold_journey": lambda: behaviour.funnel_conversion(bronze.clicks, rules.stages),
+        "gold_affinity": lambda: products.category_affinity(sales),
+        "gold_nps": lambda: customers.nps_segments(customers.nps_users(orders, rules.promoter, rules.passive)),
+        "gold_seasonality_weekly": lambda: behaviour.weekday_seasonality(orders, amount="revenue"),
+        "gold_seasonality_hour": lambda: behaviour.hour_seasonality(orders, amount="revenue"),
     }
     if include_ml:
         lines_rfm = customers.rfm_features(orders, today, count_lines=True)
-        four = customers.rfm_segments(
-            customers.rfm_clusters(lines_rfm, k=4), bronze.users.select("user_id", "name", "email"), customers.SEGMENTS_4
-        )
-        tables["gold_ml_rfm"] = four.drop("prediction").withColumnsRenamed(
-            {"recency": "recency_days", "monetary": "monetary_value"}
-        )
-        tables["gold_ml_association"] = basket.association_rules(
+        contacts = bronze.users.select("user_id", "name", "email")
+
+        def four_segments() -> DataFrame:
+            found = customers.rfm_segments(customers.rfm_clusters(lines_rfm, k=4), contacts, customers.SEGMENTS_4)
+            return found.drop("prediction").withColumnsRenamed({"recency": "recency_days", "monetary": "monetary_value"})
+
+        tables["gold_ml_rfm"] = four_segments
+        tables["gold_ml_association"] = lambda: basket.association_rules(
             basket.baskets(sales, rules.basket_by), rules.min_support, rules.min_confidence
         )
-        tables["gold_rfm_v2"] = customers.rfm_segments(customers.rfm_clusters(rfm, k=5), bronze.users)
-    return GoldBuild(sales, orders, tables)
+        tables["gold_rfm_v2"] = lambda: customers.rfm_segments(customers.rfm_clusters(rfm, k=5), bronze.users)
+    wanted = {name: make() for name, make in tables.items() if only is None or name in only}
+    return GoldBuild(sales, orders, wanted)

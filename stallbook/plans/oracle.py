@@ -7,8 +7,8 @@ same operand order as the operators; rounding goes through DECIMAL(38,12).
 from __future__ import annotations
 
 from .registry import (
-    CATEGORIES,
     CLV_TIERS,
+    GOLD_TABLES,
     PASSIVE,
     PRICE,
     PROMOTER,
@@ -351,10 +351,9 @@ SELECT abc_class, {big('count(*)')} AS products, {dbl('sum(exact_revenue)')} AS
     affinity_head = heading(SALES, AFFINITY)
     sql["category_affinity"] = f"{affinity_head} SELECT * FROM affinity"
     sql["top_pairs"] = f"{affinity_head} SELECT * FROM affinity ORDER BY affinity_score DESC, cat1, cat2 LIMIT 10"
-    cells = ", ".join(
-        f"coalesce(max(affinity_score) FILTER (WHERE cat2 = '{c}'), 0.0) AS \"{c}\"" for c in CATEGORIES
-    )
-    sql["affinity_matrix"] = f"{affinity_head} SELECT cat1, {cells} FROM affinity GROUP BY cat1"
+    sql["affinity_matrix"] = f"""{affinity_head}
+SELECT cat1, coalesce(COLUMNS(* EXCLUDE (cat1)), 0.0)
+FROM (PIVOT (SELECT cat1, cat2, affinity_score FROM affinity) ON cat2 USING max(affinity_score) GROUP BY cat1)"""
 
     # customers
     sql["member_summary"] = f"""{heading(SALES, USERS)}
@@ -594,13 +593,58 @@ SELECT {bounds(3600)}, {big('count(*)')} AS orders, {dbl('sum(CAST(value AS DECI
        {div('sum(CAST(value AS DECIMAL(18,2)))', 'count(*)')} AS avg_value
 FROM win GROUP BY w0"""
     sql["deduplicated_events"] = "SELECT event_id, user_id, event_type FROM events"
-    sql["stream_orders_by_minute"] = sql["orders_by_minute"]
-    sql["stream_amount_by_hour"] = sql["amount_by_hour"]
-    sql["stream_sliding_rate"] = sql["sliding_rate"]
-    sql["stream_event_mix"] = sql["event_mix_by_window"]
-    sql["stream_daily_funnel"] = sql["daily_events"]
+    # streams: the windows that the watermark has closed
+    def closed(seconds: int, delay: int) -> str:
+        return f"HAVING w0 + INTERVAL {seconds} SECOND <= (SELECT max(ts) FROM events) - INTERVAL {delay} SECOND"
+
+    sql["stream_orders_by_minute"] = f"{sql['orders_by_minute']} {closed(60, 600)}"
+    sql["stream_late_rows"] = sql["stream_orders_by_minute"]
+    sql["stream_amount_by_hour"] = f"{sql['amount_by_hour']} {closed(3600, 3600)}"
+    sql["stream_sliding_rate"] = f"{sql['sliding_rate']} {closed(300, 600)}"
+    sql["stream_event_mix"] = f"{sql['event_mix_by_window']} {closed(300, 600)}"
+    sql["stream_daily_funnel"] = f"""SELECT {day('ts')} AS event_date, event_type, {big('count(*)')} AS event_count
+FROM events GROUP BY date_trunc('day', ts), {day('ts')}, event_type
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+    sql["stream_sliding_kpis"] = f"""{heading(window_counts(3600, 300))}
+SELECT {bounds(3600)}, {big('count(*)')} AS orders, {dbl('sum(CAST(value AS DECIMAL(18,2)))')} AS revenue,
+       {div('sum(CAST(value AS DECIMAL(18,2)))', 'count(*)')} AS avg_value, TRUE AS customers_near
+FROM win GROUP BY w0 {closed(3600, 3600)}"""
     sql["stream_deduplicated"] = sql["deduplicated_events"]
     sql["stream_enriched"] = f"""{heading(EVENTS, USERS)}
 SELECT event_id, ev.user_id, '/page/' || CAST(k AS VARCHAR) AS url, k AS duration_sec, name, city
 FROM ev LEFT JOIN usr USING (user_id)"""
+
+    sql["minute_trend_last_hour"] = f"""
+WITH m AS (SELECT date_trunc('minute', ts) AS minute, count(*) AS orders FROM events
+           WHERE ts > (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1),
+w AS (SELECT *, sum(orders) OVER five AS s, count(*) OVER five AS c FROM m
+      WINDOW five AS (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+SELECT {stamp('minute')} AS minute, {big('orders')} AS orders,
+       CASE WHEN c = 5 THEN CAST(s AS DOUBLE) / 5.0 END AS moving_avg FROM w"""
+    sql["table_rows"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {big('count(*)')} AS row_count FROM {t}"
+        for t in ("orders", "lineitem", "customer", "part", "supplier", "events")
+    )
+    sql["documents_round_trip"] = f"SELECT {big('event_id')} AS event_id, {big('user_id')} AS user_id, event_type, value FROM events"
+    for name, frequency, k in (("clusters_of_five", "frequency", 5), ("clusters_of_four", "line_frequency", 4)):
+        sql[name] = f"""{rfm_head}
+SELECT {big(f'count({frequency})')} AS users, round(sum(CAST(monetary AS DOUBLE)), 2) AS total, TRUE AS near_own_centre,
+       {big(str(k))} AS segments, TRUE AS rising FROM rfm"""
+    # rules of any size over the few categories: every subset of an order's set is counted
+    sql["category_rules"] = f"""{sales},
+d AS (SELECT order_id, list_sort(list(DISTINCT category)) AS items FROM sales GROUP BY order_id),
+t AS (SELECT count(*) AS n FROM d),
+names AS (SELECT list_sort(list(DISTINCT category)) AS every FROM sales),
+masks AS (SELECT list_filter(every, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items
+          FROM names, range(1, 64) AS r(m) WHERE m < (1 << len(every))),
+freq AS (SELECT masks.items, count(*) AS c FROM masks JOIN d ON list_has_all(d.items, masks.items)
+         GROUP BY masks.items HAVING count(*) >= ceil(0.01 * (SELECT n FROM t)))
+SELECT list_aggregate(a.items, 'string_agg', ', ') AS antecedent, list_aggregate(b.items, 'string_agg', ', ') AS consequent,
+       {div('w.c', 'a.c')} AS confidence, {div('w.c', 'a.c')} / {div('b.c', '(SELECT n FROM t)')} AS lift,
+       {div('w.c', '(SELECT n FROM t)')} AS support
+FROM freq w JOIN freq a ON list_has_all(w.items, a.items) AND len(a.items) = len(w.items) - 1
+JOIN freq b ON list_has_all(w.items, b.items) AND len(b.items) = 1 AND NOT list_has_any(a.items, b.items)
+WHERE {div('w.c', 'a.c')} >= {RULE_CONFIDENCE}"""
+    for table, query in GOLD_TABLES.items():
+        sql[table] = sql[query]
     return sql

@@ -90,27 +90,30 @@ def moving_average(
 ) -> DataFrame:
     """Mean of the current and the previous window-1 rows; NULL until that many rows exist.
 
-    Every row is sent to the positions whose window holds it, then the
-    positions are summed: one shuffle, no gathering of the whole order.
+    Ranges are kept as they are. Each gets the last window-1 rows before it
+    (ranges times window rows in all), so the frame ends inside the range.
     """
-    numbered = running_totals(frame, order, {}, rank="_position", ranges=ranges)
-    own = F.col("_reach") == 0
-    reached = numbered.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("_reach")
-    ).withColumn("_position", F.col("_position") + F.col("_reach"))
-    return (
-        reached.groupBy("_position")
-        .agg(
-            *(F.max(F.when(own, F.col(column))).alias(column) for column in frame.columns),
-            F.max(own).alias("_present"),
-            F.count(value).alias("_rows"),
-            F.sum(value).alias("_total"),
-        )
-        .filter("_present")
-        .select(
-            *frame.columns,
-            F.when(F.col("_rows") == window, F.try_divide(F.col("_total").cast("double"), F.lit(float(window)))).alias(
-                name
-            ),
-        )
+    if ranges is None:
+        ranges = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(
+        frame.repartitionByRange(ranges, *order).withColumn(_RANGE, F.spark_partition_id()), "ranges"
     )
+    size = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_rows"))
+    # one row per range: where it starts, and where the ranges after it start
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.orderBy(_RANGE).rowsBetween(1, Window.unboundedFollowing)
+    starts = size.select("*", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    starts = starts.select("*", F.collect_list(F.struct(_RANGE, "_start")).over(after).alias("_later"))
+    # the last rows of a range go to those ranges whose first rows reach back to them
+    inside = Window.partitionBy(_RANGE).orderBy(*order)
+    placed = ranged.withColumn("_place", F.row_number().over(inside)).join(F.broadcast(starts), _RANGE)
+    tail = placed.filter(F.col("_place") > F.col("_rows") - (window - 1))
+    reach = F.col("_start") + F.col("_place") + window - 1
+    lent = tail.select(
+        *frame.columns, F.explode(F.filter("_later", lambda x: x["_start"] < reach)).alias("_to"), F.lit(False).alias("_own")
+    ).select(*frame.columns, F.col(f"_to.{_RANGE}").alias(_RANGE), "_own")
+    rows = ranged.select(*frame.columns, _RANGE, F.lit(True).alias("_own")).unionByName(lent)
+    last = Window.partitionBy(_RANGE).orderBy(*order).rowsBetween(-(window - 1), 0)
+    mean = F.try_divide(F.sum(value).over(last).cast("double"), F.lit(float(window)))
+    averaged = rows.select("*", F.when(F.count(value).over(last) == window, mean).alias(name))
+    return averaged.filter("_own").select(*frame.columns, name)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import compact_number, joined
 from ..operators import basket, behaviour, customers, finance, monitor, products, serving
@@ -16,10 +17,11 @@ from ..operators.sales import (
     build_sales,
     enrich_clicks,
     flatten_clicks,
+    order_facts,
     order_rollup,
 )
 from ..session import prepare
-from ..sources import StarRetail, recent_documents
+from ..sources import StarRetail, read_documents, recent_documents, write_table
 from ..sources.star import STAGES, STAR_SCHEMAS
 from ..streaming import (
     daily_funnel,
@@ -33,15 +35,18 @@ from ..streaming import (
     run_to_table,
     without_known,
 )
+from .gold import Bronze, Rules, build_gold
+from .staging import new_folder, stage
 
 # Thresholds under which every class of the test tables has members.
 COMPLETED = "F"
 PRICE = {"low": 50000, "mid": 50000, "high": 55000, "many": 5, "few": 5}
 PROMOTER, PASSIVE = (15, 900000), (8, 400000)
 CLV_TIERS = (500000, 300000, 100000)
+# Baskets of names: at this support only rules between two names exist, which SQL can count pair by pair. The rules of
+# several items at one percent are checked on categories, of which SQL can count every subset.
 RULE_SUPPORT, RULE_CONFIDENCE = 0.05, 0.1
 TARGET_RATE = 0.004
-CATEGORIES = ("LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 Query = Callable[[StarRetail], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -87,10 +92,15 @@ def sales(star: StarRetail) -> DataFrame:
 
 
 def lines(star: StarRetail) -> DataFrame:
-    """For tables that need no product attribute."""
+    """For tables that need no product attribute; the source enforces the foreign key to the products."""
     return build_lines(star.items, star.orders, completed=COMPLETED, amount=F.col("line_amount"))
 
 
+def orders_of(star: StarRetail) -> DataFrame:
+    """One row per order of the fact, written once for tables that read it several times."""
+    return stage(order_facts(sales(star)), "orders")
+
+
 def churn(star: StarRetail) -> DataFrame:
     return customers.churn_risk(lines(star), star.users)
 
@@ -107,6 +117,54 @@ def clusters(star: StarRetail, k: int, count_lines: bool = False) -> DataFrame:
     return customers.rfm_clusters(customers.rfm_features(lines(star), count_lines=count_lines), k=k)
 
 
+def fitted_well(star: StarRetail, k: int, count_lines: bool = False) -> DataFrame:
+    """What must hold for any good clustering, as one row.
+
+    All users and their spend are there, k clusters are named in the order of
+    mean spend, and nearly every user is nearest to its own cluster's centre.
+    """
+    found = stage(clusters(star, k, count_lines), "clusters")
+    features = ("recency", "frequency", "monetary")
+    scale = found.agg(F.struct(*(F.stddev(c).alias(c) for c in features))).scalar()
+    scaled = found.select("prediction", "monetary", *(F.try_divide(c, scale[c]).alias(f"s_{c}") for c in features))
+    means = scaled.groupBy("prediction").agg(*(F.avg(f"s_{c}").alias(f"s_{c}") for c in features))
+    # k rows come to the driver and go back as literals
+    away = [
+        F.struct(
+            sum(((F.col(f"s_{c}") - F.lit(m[f"s_{c}"])) ** 2 for c in features), F.lit(0.0)).alias("away"),
+            F.lit(m["prediction"]).alias("at"),
+        )
+        for m in means.collect()
+    ]
+    nearest = scaled.select("monetary", (F.array_min(F.array(*away))["at"] == F.col("prediction")).alias("own"))
+    named = customers.rfm_segments(found, labels=[f"{n:02d}" for n in range(k)])
+    by_label = named.groupBy("customer_segment").agg(F.avg("monetary").alias("mean"))
+    rising = by_label.select((F.col("mean") >= F.lag("mean", 1, 0.0).over(Window.orderBy("customer_segment"))).alias("up"))
+    labels = rising.agg(F.struct(F.count(F.lit(1)).alias("segments"), F.bool_and("up").alias("rising"))).scalar()
+    return nearest.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.round(F.sum("monetary"), 2).alias("total"),
+        (F.avg(F.col("own").cast("int")) >= 0.97).alias("near_own_centre"),
+    ).select("users", "total", "near_own_centre", labels["segments"].alias("segments"), labels["rising"].alias("rising"))
+
+
+def gold_table(star: StarRetail, name: str) -> DataFrame:
+    """One table of the gold build, written to a folder and loaded again."""
+    bronze = Bronze(
+        items=star.items, orders=star.orders, products=star.products, users=star.users, returns=star.returns,
+        suppliers=star.suppliers, purchase_orders=star.purchase_orders, clicks=star.clicks, tickets=star.tickets,
+    )
+    rules = Rules(
+        completed=COMPLETED, amount=F.col("line_amount"), clv_tiers=CLV_TIERS,
+        price_bounds=(PRICE["low"], PRICE["mid"], PRICE["high"]), price_counts=(PRICE["many"], PRICE["few"]),
+        promoter=PROMOTER, passive=PASSIVE, stages=STAGES,
+    )
+    build = build_gold(bronze, rules, include_ml=False, only=(name,))
+    folder = new_folder(star.spark, "gold")
+    build.write(lambda frame, table: write_table(frame, table, path=f"{folder}/{table}"))
+    return star.spark.read.parquet(f"{folder}/{name}")
+
+
 def nps_classes(star: StarRetail) -> DataFrame:
     return customers.nps_segments(customers.nps_users(lines(star), PROMOTER, PASSIVE))
 
@@ -116,6 +174,29 @@ def event_stream(star: StarRetail) -> DataFrame:
     return star.spark.readStream.schema(STAR_SCHEMAS["events"]).parquet(f"{star.folder}/event[s].parquet")
 
 
+def ordered_stream(
+    star: StarRetail, parts: int = 3, again: Callable[[Column, int, int], Column] | None = None
+) -> DataFrame:
+    """The events by time in several files, one per micro-batch.
+
+    ``again`` selects rows that arrive once more at the end, by their time, the
+    first and the last time in microseconds.
+    """
+    events = star.raw("events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = events.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
+    low, high = ends["low"] or 0, ends["high"] or 0
+    step = (high - low) // parts + 1
+    folder = new_folder(star.spark, "events")
+    for n in range(parts):
+        own = (micros - low).between(n * step, (n + 1) * step - 1)
+        events.filter(own).coalesce(1).write.parquet(f"{folder}/part={n}")
+    if again is not None:
+        events.filter(again(micros, low, high)).coalesce(1).write.parquet(f"{folder}/part={parts}")
+    reader = star.spark.readStream.schema(STAR_SCHEMAS["events"]).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{folder}/part=*")
+
+
 # --- sales fact ----------------------------------------------------------------------
 
 
@@ -261,7 +342,7 @@ def top_pairs(star):
 
 @query
 def affinity_matrix(star):
-    return products.affinity_matrix(products.category_affinity(sales(star)), CATEGORIES)
+    return products.affinity_matrix(products.category_affinity(sales(star)))
 
 
 # --- customers -----------------------------------------------------------------------
@@ -297,6 +378,16 @@ def cluster_profile(star):
     return customers.cluster_profile(clusters(star, 5))
 
 
+@query
+def clusters_of_five(star):
+    return fitted_well(star, 5)
+
+
+@query
+def clusters_of_four(star):
+    return fitted_well(star, 4, count_lines=True)
+
+
 @query
 def cohort_retention(star):
     return customers.cohort_retention(lines(star))
@@ -372,6 +463,12 @@ def association_rules(star):
     return basket.association_rules(basket.baskets(sales(star)), RULE_SUPPORT, RULE_CONFIDENCE)
 
 
+@query
+def category_rules(star):
+    """Rules of one and more categories bought together in an order, at one percent support."""
+    return basket.association_rules(basket.baskets(sales(star), "order_id", "category"), 0.01, RULE_CONFIDENCE)
+
+
 # --- behaviour -----------------------------------------------------------------------
 
 
@@ -430,7 +527,9 @@ def dropoff_stages(star):
 
 @query
 def executive_kpis(star):
-    return serving.executive_kpis(pl(star), churn(star))
+    orders = orders_of(star)
+    monthly = finance.monthly_pl(order_rollup(orders), finance.monthly_refunds(star.returns))
+    return serving.executive_kpis(monthly, customers.churn_risk(orders, star.users))
 
 
 @query
@@ -450,7 +549,8 @@ def finance_points(star):
 
 @query
 def churn_points(star):
-    return serving.churn_points(churn(star), customers.rfm_features(lines(star)))
+    orders = orders_of(star)
+    return serving.churn_points(customers.churn_risk(orders, star.users), customers.rfm_features(orders))
 
 
 @query
@@ -494,6 +594,25 @@ def table_inventory(star):
     return monitor.table_inventory(star.spark, {name: star.raw(name) for name in names})
 
 
+@query
+def table_rows(star):
+    names = ("orders", "lineitem", "customer", "part", "supplier", "events")
+    return monitor.table_inventory(star.spark, {name: star.raw(name) for name in names}).select("table_name", "row_count")
+
+
+@query
+def documents_round_trip(star):
+    """Events written as documents and read again."""
+    folder = new_folder(star.spark, "documents")
+    star.raw("events").select("event_id", "user_id", "event_type", "value").write.json(folder)
+    return read_documents(star.spark, folder, "event_id bigint, user_id bigint, event_type string, value double")
+
+
+@query
+def minute_trend_last_hour(star):
+    return monitor.minute_trend(star.clicks, "timestamp", within="1 hour")
+
+
 @query
 def collection_counts(star):
     return monitor.collection_counts({"clickstream": star.clicks, "support_tickets": star.tickets})
@@ -600,37 +719,53 @@ def orders_without_conflicts(star):
 
 @query
 def stream_orders_by_minute(star):
-    return run_to_table(orders_per_minute(event_stream(star), "ts"), "minutes")
+    return run_to_table(orders_per_minute(ordered_stream(star), "ts"), "minutes")
+
+
+@query
+def stream_late_rows(star):
+    """The first day's events come again after the watermark has passed them, and are dropped."""
+    late = ordered_stream(star, again=lambda at, low, high: at < low + 86_400_000_000)
+    return run_to_table(orders_per_minute(late, "ts"), "late")
 
 
 @query
 def stream_amount_by_hour(star):
-    return run_to_table(hourly_amount(event_stream(star), "ts", "value"), "hours")
+    return run_to_table(hourly_amount(ordered_stream(star), "ts", "value"), "hours")
 
 
 @query
 def stream_sliding_rate(star):
-    return run_to_table(rolling_rate(event_stream(star), "ts"), "rates")
+    return run_to_table(rolling_rate(ordered_stream(star), "ts"), "rates")
 
 
 @query
 def stream_event_mix(star):
-    return run_to_table(event_mix(event_stream(star), "ts", "event_type"), "mix")
+    return run_to_table(event_mix(ordered_stream(star), "ts", "event_type"), "mix")
 
 
 @query
 def stream_daily_funnel(star):
-    return run_to_table(daily_funnel(event_stream(star), "ts"), "funnel")
+    return run_to_table(daily_funnel(ordered_stream(star), "ts"), "funnel")
 
 
 @query
 def stream_sliding_kpis(star):
-    return run_to_table(rolling_kpis(event_stream(star), "ts", "value", "user_id"), "kpis")
+    """Exact figures of the closed windows, and whether the sketch of the customers is within ten percent."""
+    found = run_to_table(rolling_kpis(ordered_stream(star), "ts", "value", "user_id"), "kpis")
+    exact = rolling_kpis(star.clicks, "timestamp", "value", "user_id", exact=True)
+    truth = exact.select("window_start", F.col("customers").alias("true_customers"))
+    near = F.abs(F.col("customers") - F.col("true_customers")) <= F.col("true_customers") * 0.1
+    return found.join(truth, "window_start").select(
+        "window_start", "window_end", "orders", "revenue", "avg_value", near.alias("customers_near")
+    )
 
 
 @query
 def stream_deduplicated(star):
-    unique = dedup_events(event_stream(star), "event_id", "ts", "1 day")
+    """Each event of the last twelve hours arrives twice, in different micro-batches."""
+    twice = ordered_stream(star, again=lambda at, low, high: at > high - 43_200_000_000)
+    unique = dedup_events(twice, "event_id", "ts", "1 day")
     return run_to_table(unique.select("event_id", "user_id", "event_type"), "unique", mode="append")
 
 
@@ -641,3 +776,41 @@ def stream_enriched(star):
     return run_to_table(
         enriched.select("event_id", "user_id", "url", "duration_sec", "name", "city"), "enriched", mode="append"
     )
+
+
+# --- the gold build: each table through write and load, with the SQL of the query of the same content ----------------
+
+GOLD_TABLES = {
+    "gold_sales_performance": "sales_by_category",
+    "gold_finance": "daily_finance",
+    "gold_inventory": "product_performance",
+    "gold_members": "member_summary",
+    "gold_finance_pl": "monthly_pl",
+    "gold_category": "category_performance",
+    "gold_inventory_v2": "inventory_health",
+    "gold_cohort": "cohort_retention",
+    "gold_returns": "returns_breakdown",
+    "gold_return_rate": "return_rate",
+    "gold_supplier": "supplier_scorecard",
+    "gold_weekly_sales": "weekly_trend",
+    "gold_channel": "channel_attribution",
+    "gold_abc": "abc_pareto",
+    "gold_brand": "brand_performance",
+    "gold_discount": "discount_roi",
+    "gold_payment": "payment_mix",
+    "gold_city": "city_sales",
+    "gold_clv": "clv",
+    "gold_churn": "churn_risk",
+    "gold_price_sensitivity": "price_sensitivity",
+    "gold_journey": "funnel_conversion",
+    "gold_affinity": "category_affinity",
+    "gold_nps": "nps_segments",
+    "gold_seasonality_weekly": "weekday_seasonality",
+}
+
+
+def _through_gold(name: str) -> Query:
+    return lambda star: gold_table(star, name)
+
+
+_QUERIES.update({name: _through_gold(name) for name in GOLD_TABLES})

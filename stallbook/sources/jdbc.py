@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.staging import stage
+
 
 def connection_properties(
     properties: Mapping[str, str] | None = None, prefix: str = "STALLBOOK_JDBC_"
@@ -66,9 +68,13 @@ def write_jdbc(
     batch_size: int = 10_000,
     max_connections: int = 16,
 ) -> None:
-    """Replace (keeping the table definition) or append; concurrent connections are bounded."""
+    """Replace (keeping the table definition) or append; concurrent connections are bounded.
+
+    The frame is staged first: what it has to compute then runs in as many
+    tasks as it likes, and only the transfer in ``max_connections``.
+    """
     writer = (
-        frame.write.mode(mode)
+        stage(frame, "jdbc").write.mode(mode)
         .option("batchsize", str(batch_size))
         .option("numPartitions", str(max_connections))
         .option("truncate", str(mode == "overwrite").lower())

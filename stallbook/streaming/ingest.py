@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sales import enrich_clicks, flatten_clicks
@@ -15,11 +16,17 @@ from .windows import event_time
 def dedup_events(
     rows: DataFrame, key: str | Sequence[str] = "event_id", ts: str = "timestamp", watermark: str = "10 minutes"
 ) -> DataFrame:
-    """First row per key within the watermark; a batch drops every later copy."""
+    """One row per key.
+
+    A batch keeps the earliest copy, ties by the other columns. A stream keeps
+    the copy that arrives first and drops others within the watermark.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     timed = event_time(rows, ts)
     if not rows.isStreaming:
-        return timed.dropDuplicates(keys)
+        rest = [c for c in timed.columns if c not in keys and c != ts]
+        first = timed.groupBy(*keys).agg(F.min(F.struct(ts, *rest)).alias("_first"))
+        return first.select(*(F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in timed.columns))
     return timed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
@@ -61,11 +68,13 @@ def stream_to_gold(
     return (query.trigger(availableNow=True) if once else query).start()
 
 
-def run_to_table(rows: DataFrame, label: str, mode: str = "complete") -> DataFrame:
+def run_to_table(rows: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Process everything that is there now into a shared folder and return it as a batch frame.
 
-    Complete mode replaces the table in every batch; append mode gives each
-    batch its own folder, so that a repeated batch overwrites itself.
+    Append mode gives each batch its own folder, so that a repeated batch
+    overwrites itself; windows arrive when the watermark has closed them, and
+    later rows are dropped. Complete mode replaces the table in every batch and
+    keeps all windows: only for results that stay small.
     """
     spark = rows.sparkSession
     target = new_folder(spark, label)

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ratio, sum_money
+from ..functions import ratio, sum_amount
 
 _SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -55,7 +55,7 @@ def orders_per_minute(rows: DataFrame, ts: str, watermark: str = "10 minutes") -
 def hourly_amount(rows: DataFrame, ts: str, amount: str, watermark: str = "1 hour") -> DataFrame:
     """Amount per hour."""
     sums = _timed(rows, ts, watermark).groupBy(F.window(ts, "1 hour").alias("w")).agg(
-        sum_money(amount).alias("revenue")
+        sum_amount(rows, amount).alias("revenue")
     )
     return sums.select(*_bounds("revenue"))
 
@@ -63,10 +63,15 @@ def hourly_amount(rows: DataFrame, ts: str, amount: str, watermark: str = "1 hou
 def rolling_rate(
     rows: DataFrame, ts: str, window: str = "5 minutes", slide: str = "1 minute", watermark: str = "10 minutes"
 ) -> DataFrame:
-    """Rows and rows per second in a sliding window."""
-    counts = _timed(rows, ts, watermark).groupBy(F.window(ts, window, slide).alias("w")).agg(
+    """Rows and rows per second in a sliding window.
+
+    Rows are counted per slide first; a sliding window adds up whole slides, so
+    only these counts are repeated for the windows they fall into.
+    """
+    slides = _timed(rows, ts, watermark).groupBy(F.window(ts, slide).alias("slide")).agg(
         F.count(F.lit(1)).alias("events")
     )
+    counts = slides.groupBy(F.window("slide", window, slide).alias("w")).agg(F.sum("events").alias("events"))
     return counts.select(*_bounds("events", ratio("events", F.lit(interval_seconds(window))).alias("tx_per_sec")))
 
 
@@ -103,13 +108,21 @@ def rolling_kpis(
 ) -> DataFrame:
     """Count, amount, mean amount and customers in a sliding window.
 
-    A stream cannot count distinct values exactly; its sketch has a relative
-    error of about 5 percent. A batch may ask for the exact number.
+    Slides are summed first, as in ``rolling_rate``. A stream cannot count
+    distinct values exactly; the sketches of its slides are united, with a
+    relative error of about 2 percent. A batch may ask for the exact number.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    sums = _timed(rows, ts, watermark).groupBy(F.window(ts, window, slide).alias("w")).agg(
-        F.count(F.lit(1)).alias("orders"),
-        sum_money(amount).alias("revenue"),
-        distinct(user).alias("customers"),
-    )
-    return sums.select(*_bounds("orders", "revenue", "customers", ratio("revenue", "orders").alias("avg_value")))
+    if interval_seconds(window) % interval_seconds(slide):
+        raise ValueError("the window must be a multiple of the slide")
+    timed = _timed(rows, ts, watermark)
+    sums = [F.count(F.lit(1)).alias("orders"), sum_amount(rows, amount).alias("revenue")]
+    panes = F.window("slide", window, slide).alias("w")
+    added = [F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")]
+    if exact:
+        slides = timed.groupBy(F.window(ts, slide).alias("slide"), user).agg(*sums)
+        figures = slides.groupBy(panes).agg(*added, F.count_distinct(user).alias("customers"))
+    else:
+        slides = timed.groupBy(F.window(ts, slide).alias("slide")).agg(*sums, F.hll_sketch_agg(user).alias("sketch"))
+        customers = F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("customers")
+        figures = slides.groupBy(panes).agg(*added, customers)
+    return figures.select(*_bounds("orders", "revenue", "customers", ratio("revenue", "orders").alias("avg_value")))

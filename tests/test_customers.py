@@ -69,11 +69,27 @@ def test_clusters_are_repeatable(spark, clustered):
 @pytest.mark.parametrize("count", [0, 1, 2, 3])
 def test_fewer_users_than_clusters(spark, count):
     few = spark.range(count).selectExpr("id AS user_id", "id AS recency", "1 AS frequency", "2.0D AS monetary")
+    if count < 2:
+        with pytest.raises(ValueError):
+            customers.rfm_clusters(few, k=5)
+        return
     found = customers.rfm_clusters(few, k=5)
     assert found.count() == count
     assert customers.rfm_segments(found).count() == count
 
 
+def test_clusters_do_not_depend_on_the_session(spark):
+    users = spark.range(400).selectExpr("id AS user_id", "id * 37 % 91 AS recency", "id * 11 % 13 AS frequency", "id * 7.5 % 1000 AS monetary")
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("3", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(rows(customers.rfm_clusters(users, k=5).select("user_id", "prediction"), "user_id"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
 def test_cohorts(spark):
     sales = purchases(
         spark,

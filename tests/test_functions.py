@@ -100,6 +100,12 @@ def test_calendar_keys(spark, day, month, week, monday, name, number):
     assert one(spark, fn.weekday_number(when)) == number
 
 
+def test_sums_keep_the_scale_of_the_column(spark):
+    thin = spark.range(1000).selectExpr("0.004D AS binary", "CAST(0.004 AS DECIMAL(9,3)) AS fine", "CAST(1.25 AS DECIMAL(9,2)) AS cents", "2 AS whole")
+    found = thin.agg(*(fn.sum_amount(thin, c).cast("double").alias(c) for c in thin.columns)).first()
+    assert tuple(found) == (4.0, 4.0, 1250.0, 2000.0)
+
+
 def test_month_gap_and_time_of_day(spark):
     assert one(spark, fn.month_gap(F.lit("2025-02"), F.lit("2023-11"))) == 15
     assert one(spark, fn.time_of_day(F.lit("2024-01-01 07:08:09").cast("timestamp"))) == "07:08:09"

@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 from unittest.mock import MagicMock
 
@@ -47,8 +48,9 @@ def test_jdbc_rejects_half_given_partitioning():
 
 
 @pytest.mark.parametrize(("mode", "truncate"), [("overwrite", "true"), ("append", "false")])
-def test_jdbc_write_keeps_the_table_definition(mode, truncate):
+def test_jdbc_write_keeps_the_table_definition(monkeypatch, mode, truncate):
     frame = MagicMock()
+    monkeypatch.setattr("stallbook.sources.jdbc.stage", lambda given, label: given)
     writer = frame.write.mode.return_value
     writer.option.return_value = writer
     sources.write_jdbc(frame, URL, "gold_abc", mode=mode)
@@ -115,20 +117,18 @@ def test_unknown_columns_fail_early(spark):
 
 
 @pytest.mark.parametrize(
-    ("master", "named", "set_before", "expected"),
-    [
-        ("spark://host", "/shared/", None, "/shared"),
-        ("local[2]", None, "/kept", "/kept"),
-        ("spark://host", None, None, RuntimeError),
-    ],
+    ("named", "set_before", "expected"),
+    [("/shared/", None, "/shared"), (None, "/kept", "/kept"), (None, None, "/tables/stallbook-work")],
 )
-def test_work_folder(master, named, set_before, expected):
-    context = MagicMock(master=master)
-    context.getConf.return_value.get.return_value = named
+def test_work_folder(named, set_before, expected):
+    context = MagicMock()
     context.getCheckpointDir.return_value = set_before
-    spark = SimpleNamespace(sparkContext=context)
-    if isinstance(expected, str):
-        assert staging.work_folder(spark) == expected
-    else:
-        with pytest.raises(expected):
-            staging.work_folder(spark)
+    settings = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": "/tables/"}
+    spark = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: settings[key]))
+    assert staging.work_folder(spark) == expected
+
+
+def test_temporary_stages_are_removed(spark):
+    with staging.temporary_stages(spark) as area:
+        assert staging.stage(spark.range(5), "gone").count() == 5
+    assert len(area) == 1 and not Path(area[0]).exists()

@@ -53,12 +53,20 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("name", CASES)
+@pytest.mark.parametrize("name", ["minutes", "hours", "mix", "funnel"])
 def test_complete_stream_equals_batch(feed, name):
-    streamed = live.run_to_table(CASES[name](feed.stream()), name)
+    streamed = live.run_to_table(CASES[name](feed.stream()), name, mode="complete")
     assert sorted(map(str, streamed.collect())) == sorted(map(str, CASES[name](feed.batch()).collect()))
 
 
+@pytest.mark.parametrize("name", CASES)
+def test_append_stream_gives_the_closed_windows(feed, name):
+    expected = sorted(map(str, CASES[name](feed.batch()).collect()))
+    feed.add([("z", 9, "click", 60 * 24 * 5)])
+    streamed = live.run_to_table(CASES[name](feed.stream()), name)
+    assert sorted(map(str, streamed.collect())) == expected
+
+
 def test_rate_divides_by_the_window_length(feed):
     found = live.rolling_rate(feed.batch(), "ts").agg(F.max("events"), F.max("tx_per_sec")).first()
     assert tuple(found) == (4, 4 / 300)
