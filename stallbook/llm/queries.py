@@ -125,5 +125,151 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 """
 
 
+_WORDS = r"regexp_extract_all({}, '[^ \t\n\x0B\f\r]+')"
+
+MINMAX_SQL = f"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id,
+    {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents
+), listed AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w]
+    ELSE list_distinct([[w[i], w[i + 1]] FOR i IN range(1, len(w))]) END) AS s FROM tokens
+), numbered AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY s) AS s FROM listed
+), sizes AS (
+  SELECT t.doc_id, count(n.s) AS n FROM tokens t LEFT JOIN numbered n ON t.doc_id = n.doc_id GROUP BY t.doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM numbered a JOIN numbered b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, w.b FROM reached r JOIN both_ways w ON r.b = w.a
+), lowest AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN lowest USING (doc_id)
+"""
+
+
+def _bucket(value: str) -> str:
+    shift = f"greatest(length(bin({value})) - 7, 0)"
+    return f"({shift} * 64 + ({value} >> {shift}))"
+
+
+def _floor(bucket: str) -> str:
+    shift = f"greatest({bucket} // 64 - 1, 0)"
+    return f"(({bucket} - {shift} * 64) << {shift})"
+
+
+def _fences(name: str, keys: str) -> str:
+    by = f"{keys}, " if keys else ""
+    return f"""{name} AS (
+  SELECT {by}rule, max(total) AS docs, {_floor("min(b) FILTER (WHERE up_to * 4 >= total)")} AS low,
+    {_floor("min(b) FILTER (WHERE up_to * 4 >= total * 3)")} AS high
+  FROM (
+    SELECT {by}rule, b, sum(n) OVER (PARTITION BY {by}rule ORDER BY b) AS up_to, sum(n) OVER (PARTITION BY {by}rule) AS total
+    FROM (SELECT {by}rule, b, sum(n)::BIGINT AS n FROM sketch GROUP BY {by}rule, b)
+  ) GROUP BY {by}rule
+)"""
+
+
+# fixed values: the rules of the operator, written out anew
+_JUDGED = [
+    ("word_length", "word_chars * 100 // n_words", 50, "n_words >= 50", True),
+    ("symbols", "n_symbols * 1000 // n_words", 100, "n_words >= 10", False),
+    ("repeated_lines", "n_dup_lines * 1000 // n_lines", 400, "n_lines >= 5", False),
+]
+_VALUES = " UNION ALL ".join(
+    f"SELECT id, lang, source, base_failed, '{r}' AS rule, {v} AS v, {m} AS margin, {b} AS below FROM based WHERE {w}"
+    for r, v, m, w, b in _JUDGED
+)
+
+QUALITY_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT id, doc_id, lang, source, text, {_WORDS.format("text")} AS w, string_split(text, chr(10)) AS l FROM texts
+), windows AS (
+  SELECT id, i, [w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]] AS five
+  FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM split WHERE len(w) >= 5)
+), repeated AS (
+  SELECT id, unnest(range(i, i + 5)) AS place FROM (SELECT id, i, count(*) OVER (PARTITION BY id, five) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT id, count(DISTINCT place) AS n FROM repeated GROUP BY id
+), lines AS (
+  SELECT id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+  FROM (SELECT id, unnest(l) AS line FROM split) WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]') GROUP BY id
+), counts AS (
+  SELECT s.id, doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
+    coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM split s LEFT JOIN lines ON s.id = lines.id LEFT JOIN covered c ON s.id = c.id
+), based AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+), vals AS ({_VALUES}), sketch AS (
+  SELECT lang, source, rule, {_bucket("v")} AS b, count(*) AS n FROM vals WHERE NOT base_failed GROUP BY ALL
+), {_fences("fine", "lang, source")}, {_fences("middle", "lang")}, {_fences("whole", "")},
+limits AS (
+  SELECT g.lang, g.source, w.rule,
+    CASE WHEN f.docs >= 200 THEN f.low WHEN m.docs >= 200 THEN m.low ELSE w.low END AS low,
+    CASE WHEN f.docs >= 200 THEN f.high WHEN m.docs >= 200 THEN m.high ELSE w.high END AS high
+  FROM (SELECT DISTINCT lang, source FROM texts) g JOIN whole w ON TRUE
+  LEFT JOIN fine f ON f.lang IS NOT DISTINCT FROM g.lang AND f.source IS NOT DISTINCT FROM g.source AND f.rule = w.rule
+  LEFT JOIN middle m ON m.lang IS NOT DISTINCT FROM g.lang AND m.rule = w.rule
+), broken AS (
+  SELECT DISTINCT v.id FROM vals v JOIN limits k
+    ON v.rule = k.rule AND v.lang IS NOT DISTINCT FROM k.lang AND v.source IS NOT DISTINCT FROM k.source
+  WHERE v.v > high + (high - low) * 3 + margin OR (below AND v.v < low - (high - low) * 3 - margin)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND id NOT IN (SELECT id FROM broken) AS kept
+FROM based
+"""
+
+
+def _secrets_sql() -> str:
+    """Every rule's pattern over every text, without the index."""
+    found = []
+    for rank, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        found.append(
+            f"SELECT id, {rank} AS rank, '{rule.kind}' AS kind, regexp_extract_all(text, '{pattern}', 0) AS found, "
+            f"regexp_extract_all(text, '{pattern}', {rule.group}) AS val, string_split_regex(text, '{pattern}') AS gap, "
+            f"{rule.least} AS least FROM texts"
+        )
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({" UNION ALL ".join(found)}),
+each AS (
+  SELECT id, rank, kind, least, i, length(found[i]) AS size, length(val[i]) AS inner_size, length(gap[i]) AS gap_size
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matches)
+),
+spans AS (
+  SELECT id, rank, kind, least, inner_size, size,
+    (sum(gap_size + size) OVER (PARTITION BY id, rank ORDER BY i) - size)::BIGINT AS s FROM each
+),
+good AS (SELECT id, rank, s, kind || ':' || s || ':' || (s + size) AS span FROM spans WHERE inner_size >= least),
+joined AS (
+  SELECT id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+    count(*) FILTER (WHERE rank = 2) AS n_hex, string_agg(span, ',' ORDER BY s, rank) FILTER (WHERE rank < 3) AS base,
+    string_agg(span, ',' ORDER BY s, rank) AS spans
+  FROM good GROUP BY id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined ON texts.id = joined.id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_boilerplate": BOILERPLATE_SQL, "op7_neighbours": NEIGHBOURS_SQL}
+    return {
+        "op2_boilerplate": BOILERPLATE_SQL,
+        "op4_minmax": MINMAX_SQL,
+        "op5_quality": QUALITY_SQL,
+        "op7_neighbours": NEIGHBOURS_SQL,
+        "op10_secrets": _secrets_sql(),
+    }
