@@ -24,7 +24,7 @@ HEADLINE = (
     "supplier_scorecard abc_pareto brand_performance category_affinity member_summary rfm_features rfm_segments "
     "cohort_retention city_sales clv churn_risk price_sensitivity nps_segments inactivity_histogram association_rules "
     "daily_events channel_attribution support_summary weekday_hour_heatmap funnel_conversion executive_kpis live_kpis "
-    "recent_orders minute_trend latest_months latest_rfm order_line_sample sliding_rate stream_orders_by_minute "
+    "recent_orders minute_trend category_rules gold_finance_pl sliding_kpis latest_months latest_rfm order_line_sample sliding_rate stream_orders_by_minute "
     "stream_deduplicated"
 ).split()
 
