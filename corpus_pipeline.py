@@ -47,7 +47,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # rows that agree in id, source and size take their copies together
     taken = stage(taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix")
     names = {c: f"__{c}" for c in taken.columns}
-    t = taken.withColumnsRenamed(names)
+    # what is taken grows with the documents: it is matched by a shuffle at every size
+    t = taken.withColumnsRenamed(names).hint("merge")
     sized = docs.withColumn("__n", mixing.words_in("text"))
     met = sized.join(
         t,
