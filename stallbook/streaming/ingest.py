@@ -37,12 +37,25 @@ def without_known(rows: DataFrame, known: DataFrame, key: str | Sequence[str]) -
 
 
 def append_new(
-    load_known: Callable[[], DataFrame], write: Callable[[DataFrame], None], key: str | Sequence[str]
+    load_known: Callable[[], DataFrame],
+    write: Callable[[DataFrame], None],
+    key: str | Sequence[str],
+    ts: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A micro-batch writer that appends unknown keys only, so that a repeated batch adds nothing."""
+    """A micro-batch writer that appends unknown keys only, so that a repeated batch adds nothing.
+
+    With ``ts``, a column whose value belongs to the key (all copies of a row
+    carry the same), only stored rows of the batch's own time range are read:
+    on a table partitioned or sorted by it the work follows the batch, not the
+    table.
+    """
 
     def append(batch: DataFrame, number: int) -> None:
-        write(without_known(batch, load_known(), key))
+        known = load_known()
+        if ts is not None:
+            ends = batch.agg(F.min(ts).alias("low"), F.max(ts).alias("high")).first()
+            known = known.filter(F.col(ts).between(ends["low"], ends["high"]) | F.col(ts).isNull())
+        write(without_known(batch, known, key))
 
     return append
 

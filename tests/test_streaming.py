@@ -119,6 +119,24 @@ def test_appending_ignores_known_keys(spark):
     assert stored[1]["event_type"] == "old"
 
 
+def test_appending_reads_only_the_time_range_of_the_batch(spark):
+    source = Feed(spark)
+    source.add([("a", 1, "view", 0.0), ("b", 1, "view", 60.0)])
+    table = new_folder(spark, "ranged")
+    source.batch().write.parquet(table)
+    source.add([("b", 1, "view", 60.0), ("c", 1, "view", 61.0)])
+    read = []
+
+    def known():
+        read.append(spark.read.schema(SCHEMA).parquet(table))
+        return read[-1]
+
+    append = live.append_new(known, lambda f: f.write.mode("append").parquet(table), "event_id", "ts")
+    for _ in range(2):
+        append(spark.read.schema(SCHEMA).parquet(f"{source.folder}/batch1"), 0)
+    assert [r["event_id"] for r in rows(spark.read.schema(SCHEMA).parquet(table), "event_id")] == ["a", "b", "c"]
+
+
 def test_restart_from_the_checkpoint_adds_nothing(spark, feed):
     checkpoint = new_folder(spark, "state")
     seen = []
