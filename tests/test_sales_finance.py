@@ -136,3 +136,14 @@ def test_payment_share_is_rounded_before_it_becomes_a_percentage(shop):
     assert (found["card"]["revenue_share_pct"], found["cash"]["revenue_share_pct"]) == (81.0, 19.0)
     assert (found["cash"]["total_orders"], found["cash"]["unique_users"]) == (2, 1)
     assert found["card"]["avg_line_value"] == 55.0
+
+
+def test_lines_without_a_product_follow_one_rule(spark, shop):
+    orphan = spark.createDataFrame([(99, 1, 999, 1, D("7.00"))], shop.items.schema)
+    items = shop.items.unionByName(orphan)
+    fact = build_sales(items, shop.orders, shop.products)
+    lean = build_lines(items, shop.orders, products=shop.products)
+    assert rows(lean.select("order_id", "product_id"), "order_id", "product_id") == rows(
+        fact.select("order_id", "product_id"), "order_id", "product_id"
+    )
+    assert build_lines(items, shop.orders).count() == fact.count() + 1
