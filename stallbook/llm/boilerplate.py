@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stallbook.plans.staging import stage
 
-RATIO, LEAST_PAGES = 0.1, 5
+RATIO, LEAST_PAGES = 0.1, 2
 _BLANKS = " \t\r"
 
 

@@ -27,6 +27,16 @@ def test_copies_of_a_page_count_once(documents):
     assert sum(r["text"] == "one page\nmany times" for r in found) == 30
 
 
+def test_small_hosts_have_the_same_ratio(documents):
+    rows = [(i, f"header\nown {i}", "en", "four pages") for i in range(4)]
+    rows += [(100 + i, ("footer\n" if i < 4 else "") + f"own {i}" + ("\nthree" if i < 3 else ""), "en", "thirty") for i in range(30)]
+    rows += [(200, "header\nalone", "en", "one page"), (201, "header\nalone", "en", "one page")]
+    found = {r["doc_id"]: r for r in collected(boilerplate.without_boilerplate(documents(rows), "source", "text", dropped="n"))}
+    assert [found[i]["text"] for i in range(4)] == [f"own {i}" for i in range(4)]
+    assert found[100]["text"] == "own 0\nthree" and found[103]["text"] == "own 3" and found[104]["n"] == 0
+    assert found[200]["text"] == "header\nalone" and found[201]["n"] == 0
+
+
 def test_awkward_rows_and_clashing_columns(documents):
     frame = documents(awkward())
     for name in ("host", "line", "lines", "page", "pages", "with_line"):
