@@ -43,9 +43,9 @@ COMPLETED = "F"
 PRICE = {"low": 50000, "mid": 50000, "high": 55000, "many": 5, "few": 5}
 PROMOTER, PASSIVE = (15, 900000), (8, 400000)
 CLV_TIERS = (500000, 300000, 100000)
-# Baskets of names: at this support only rules between two names exist, which SQL can count pair by pair. The rules of
-# several items at one percent are checked on categories, of which SQL can count every subset.
-RULE_SUPPORT, RULE_CONFIDENCE = 0.05, 0.1
+# The reference's values. Rules over names have antecedents of any size; the SQL counts pairs, so it covers the rules of one
+# name only, and tests count the others by brute force.
+RULE_SUPPORT, RULE_CONFIDENCE = 0.01, 0.1
 TARGET_RATE = 0.004
 
 Query = Callable[[StarRetail], DataFrame]

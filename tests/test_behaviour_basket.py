@@ -1,10 +1,11 @@
-from itertools import permutations
+from itertools import combinations, permutations
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from stallbook.operators import basket, behaviour, serving
+from stallbook.plans import registry
 
 
 def test_daily_funnel_keeps_unreadable_times_under_null(shop):
@@ -115,3 +116,27 @@ def test_stock_points(shop):
     found = rows(serving.stock_points(shop.products), "label")
     assert found[0]["label"] == "cable" and float(found[0]["x"]) == 1.0 and found[0]["color"] == 400
     assert shop.products.agg(F.count("*")).first()[0] == len(found)
+
+
+def test_registered_rules_equal_brute_force_at_one_percent(spark, monkeypatch):
+    carts = {n: set("abcd" if n < 3 else "ace" if n < 8 else "bd" if n < 9 else "cf" if n % 3 else "e") for n in range(200)}
+    bought = [(user, name) for user, names in carts.items() for name in names]
+    monkeypatch.setattr(registry, "sales", lambda star: spark.createDataFrame(bought, "user_id int, name string"))
+    found = {
+        (r["antecedent"], r["consequent"]): (r["confidence"], r["lift"], r["support"])
+        for r in registry._QUERIES["association_rules"](None).collect()
+    }
+    n = len(carts)
+
+    def count(items):
+        return sum(set(items) <= cart for cart in carts.values())
+
+    expected = {}
+    for size in range(2, 7):
+        for items in combinations("abcdef", size):
+            for then in items if count(items) >= n / 100 else ():
+                first = [i for i in items if i != then]
+                confidence = count(items) / count(first)
+                if confidence >= 0.1:
+                    expected[(", ".join(first), then)] = pytest.approx((confidence, confidence / (count(then) / n), count(items) / n))
+    assert found == expected and ("a, b, c", "d") in found and ("b", "d") in found
