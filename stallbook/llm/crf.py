@@ -41,13 +41,19 @@ def fit(features: np.ndarray, neighbours: np.ndarray, labels: np.ndarray, prior:
     return Field(weights, edges)
 
 
-def marginals(unary: np.ndarray, links: np.ndarray, kinds: np.ndarray, edges: np.ndarray, rounds: int = 20) -> np.ndarray:
-    """Label probabilities of nodes by loopy belief propagation over undirected links (m, 2) of the given kinds."""
+def marginals(unary: np.ndarray, links: np.ndarray, kinds: np.ndarray, edges: np.ndarray, rounds: int | None = None) -> np.ndarray:
+    """Label probabilities of nodes by loopy belief propagation over undirected links (m, 2) of the given kinds.
+
+    Messages are passed until they stand still, or `rounds` times. In a graph of loops they need not stand still: without
+    `rounds` they get twice as many as it takes to pass every link.
+    """
     source, target = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
     back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
     gain = np.expm1(edges)[np.concatenate([kinds, kinds])][:, None]
     message = np.zeros((len(source), unary.shape[1]))
     belief = unary.copy()
+    if rounds is None:
+        rounds = 100 + 2 * len(links)
     for _ in range(rounds if len(links) else 0):
         out = belief[source] - message[back]
         out = np.exp(out - out.max(axis=1, keepdims=True))

@@ -2,8 +2,10 @@
 
 The patterns find whatever they find. The field then labels every token with a digit or an @: neighbours in the text
 are chained, and each occurrence of a token (its letters and digits) is linked to the next one of the document, however
-far. Tokens inside pattern matches keep their label; through the links they tell other occurrences, such as a phone
-number without its country code, what they are. Other tokens are outside the field: they never bear a label.
+far. Tokens inside pattern matches keep their label, and each other occurrence is linked to them at once, however many
+stand between: all matches with a token are one node of known label, so the links are as many as the tokens. Tokens that
+write the digits of a matched card or phone number in another way, such as a phone number without its country code, are
+linked to it too. Other tokens are outside the field: they never bear a label.
 
 The weights are fitted on the driver by pseudo-likelihood on a bounded sample (about SAMPLE_DOCS documents, at most
 SAMPLE_TOKENS tokens of each), with the pattern matches as labels.
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +28,9 @@ from stallbook.llm.crf import CHAIN, SKIP, Field, fit, marginals
 SAMPLE_DOCS, SAMPLE_TOKENS, SEED = 8000, 32, 40
 # Weights of equal labels on chain and skip links before any evidence, and the shortest token with skip links.
 PRIOR, CORE = (1.0, 3.0), 4
+# The weight of a link to matches that agree in so many letters and digits at least, which is hardly chance. The sample
+# cannot tell it: its labels are the matches only.
+SAME, WHOLE = 6.0, 7
 # How sure the field must be to add a span.
 SURE = 0.6
 _HASH_RANGE = 1 << 30
@@ -38,6 +44,11 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
+# Kinds that are numbers whichever way their digits are grouped, the forms of their groups, and what may stand between.
+_NUMBERS, _TEN, _LONGEST = ("card", "phone"), frozenset("0123456789"), 19
+_WRITTEN = re.compile(r"[0-9+()./-]*[0-9][0-9+()./-]*")
+_BETWEEN = frozenset((" ", "  ", "-", " - ", "", " (", ") ", ".", ". ", "\n", "\t"))
+
 _HINT = re.compile(r"[0-9@]")
 _BLANKS = " \t\n\x0b\x0c\r"
 _TRIM = ".,;:!?'\"<>[]{}|#$%&*"
@@ -116,17 +127,47 @@ class Tokens:
                     if self.labels[i] < 0:
                         self.labels[i] = kind
         self.gaps = [text[p[1] : q[0]] for p, q in zip(self.spans, self.spans[1:])]
+        cores = ["".join(c for c in word.lower() if c.isalnum()) for word in self.words]
         chain = [(i, i + 1) for i, gap in enumerate(self.gaps) if len(gap) <= 3]
         last: dict[str, int] = {}
         skip = []
-        for i, word in enumerate(self.words):
-            core = "".join(c for c in word.lower() if c.isalnum())
+        for i, core in enumerate(cores):
             if len(core) >= CORE:
                 if core in last:
                     skip.append((last[core], i))
                 last[core] = i
         self.links = np.array(chain + skip, dtype=np.int64).reshape(-1, 2)
         self.kinds = np.array([CHAIN] * len(chain) + [SKIP] * len(skip), dtype=np.int64)
+        self._tell(text, found, cores)
+
+    def _tell(self, text: str, found: list[tuple[int, int, int]], cores: list[str]) -> None:
+        """told: of tokens outside the matches, counts by kind of the matches that write the same; whole: a long piece."""
+        n, kinds = len(self.words), len(KINDS)
+        self.told, self.whole = np.zeros((n, kinds)), np.zeros(n, dtype=bool)
+        by_core: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(kinds))
+        for i in np.flatnonzero(self.inside):
+            if len(cores[i]) >= CORE:
+                by_core[cores[i]][self.labels[i]] += 1
+        numbers: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(kinds))
+        for kind, a, b in found:
+            digits = "".join(c for c in text[a:b] if c in _TEN)
+            if KINDS[kind] in _NUMBERS:
+                # a phone number stands without the codes before it, too
+                for drop in range(len(digits) - WHOLE + 1 if KINDS[kind] == "phone" else 1):
+                    numbers[digits[drop:]][kind] += 1
+        for i in np.flatnonzero(~self.inside) if by_core else ():
+            if cores[i] in by_core:
+                self.told[i], self.whole[i] = by_core[cores[i]], len(cores[i]) >= WHOLE
+        plain = [not self.inside[i] and _WRITTEN.fullmatch(w) is not None for i, w in enumerate(self.words)] if numbers else []
+        for i in np.flatnonzero(plain):
+            run, last = "", i
+            while last < n and plain[last] and (last == i or self.gaps[last - 1] in _BETWEEN):
+                run += "".join(c for c in self.words[last] if c in _TEN)
+                if len(run) > _LONGEST:
+                    break
+                if run in numbers:
+                    self.told[i : last + 1], self.whole[i : last + 1] = numbers[run], True
+                last += 1
 
     def features(self) -> np.ndarray:
         """Forms of the tokens: marks, digits, dots, and whether a neighbour stands close."""
@@ -165,6 +206,10 @@ def _added(tokens: Tokens, field: Field) -> list[tuple[int, int, int]]:
     unary = tokens.features() @ field.nodes
     fixed = np.flatnonzero(tokens.inside)
     unary[fixed, tokens.labels[fixed] + 1] += 50.0
+    # what a neighbour of known label says: the message of a node for all matches that write the same
+    told = np.flatnonzero(tokens.told.any(axis=1))
+    weight = np.where(tokens.whole[told], max(SAME, field.edges[SKIP]), field.edges[SKIP])[:, None]
+    unary[told, 1:] += np.log1p(np.expm1(weight) * tokens.told[told] / tokens.told[told].sum(axis=1, keepdims=True))
     p = marginals(unary, tokens.links, tokens.kinds, field.edges)
     best = p.argmax(axis=1)
     found: list[tuple[int, int, int]] = []
@@ -202,8 +247,9 @@ def fitted(documents: DataFrame, key: str, text: str) -> Field | None:
                 found = patterns(value)
                 tokens = Tokens(value, found)
                 x, near = tokens.features(), tokens.neighbours()
-                # tokens with a label first: most documents have none
-                order = np.argsort(tokens.labels < 0, kind="stable")[:SAMPLE_TOKENS]
+                # tokens with a label first: most documents have none; what is written as in a match is no counterexample
+                order = np.argsort(tokens.labels < 0, kind="stable")
+                order = order[~tokens.told.any(axis=1)[order]][:SAMPLE_TOKENS]
                 rows += [(x[i].tolist(), near[i].ravel().tolist(), int(tokens.labels[i]) + 1) for i in order]
             if rows:
                 form, near, label = zip(*rows, strict=True)

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from tests.conftest import rows as collected
 
 from stallbook.llm import crf, pii
@@ -74,6 +75,11 @@ def corpus():
     return rows
 
 
+@pytest.fixture(scope="module")
+def field(documents):
+    return pii.fitted(documents(corpus()), "doc_id", "text")
+
+
 def test_a_distant_repetition_gets_the_label_of_the_match(documents):
     rows = corpus() + [(999, "call +1 (269) 555-3296 now. " + "and so on " * 200 + "or dial (269) 555-3296 again, 7 times")]
     found = {r["doc_id"]: r for r in collected(pii.found_in(documents(rows)))}
@@ -86,6 +92,32 @@ def test_a_distant_repetition_gets_the_label_of_the_match(documents):
     assert all(found[i]["spans"] == "" for i, t in rows if t == "no data" or t.startswith("version"))
 
 
+@pytest.mark.parametrize("bare", ["(269) 555-3296", "269-555-3296", "2695553296", "269 555 3296", "269.555.3296", "555-3296"])
+@pytest.mark.parametrize("n", [1, 5, 30, 200])
+def test_all_repetitions_get_the_label_however_written(field, n, bare):
+    text = "call +1 (269) 555-3296 now. " + f"and so on, then {bare} in place of 41 or 2024. " * n
+    base, added = pii.spans_of(text, field)
+    starts = [m.start() for m in re.finditer(f"then {re.escape(bare)}", text)]
+    assert len(base) == 1 and added == [(3, s + 5, s + 5 + len(bare)) for s in starts]
+
+
+def test_repetitions_of_a_rare_form_between_others(field):
+    text = "call +1 (269) 555-3296 now. " + "".join(f"then {b} on. " for b in ("269-555-3296", "2695553296", "999-555-3290", "(269) 555-3296") * 40)
+    _, added = pii.spans_of(text, field)
+    found = [text[a:b] for k, a, b in added if k == 3]
+    assert [f for f in found if "3290" not in f] == ["269-555-3296", "2695553296", "(269) 555-3296"] * 40
+
+
+def test_messages_pass_long_chains():
+    n = 300
+    unary = np.zeros((n, 2))
+    unary[0, 1] = 50.0
+    links, kinds = np.array([[i, i + 1] for i in range(n - 1)]), np.ones(n - 1, dtype=int)
+    p = crf.marginals(unary, links, kinds, np.array([0.0, 6.0]))
+    # each link keeps tanh(weight / 2) of what is known
+    assert np.allclose(p[:, 1] - 0.5, 0.5 * np.tanh(3.0) ** np.arange(n), atol=0.02)
+
+
 def test_positions_count_code_points(documents):
     found = collected(pii.found_in(documents([(1, "🎉é a@b.cd"), (2, None), (3, "nothing")])), "doc_id")
     assert [r["spans"] for r in found] == ["email:3:9", "", ""]
