@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the lines that are boilerplate of their source; a document of nothing else goes."""
-    rest = boilerplate.without_boilerplate(docs, "source", "text", dropped="__dropped")
+    rest = boilerplate.without_boilerplate(docs, "source", "text", dropped="__dropped", sources=True)
     emptied = (F.col("__dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return rest.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

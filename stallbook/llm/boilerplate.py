@@ -8,12 +8,19 @@ place: texts are never taken apart into rows that would have to be put together
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.plans.staging import stage
 
 RATIO, LEAST_PAGES = 0.1, 2
+# Of a source, which is many sites: the ratio of a line of one character, divided by the characters, down to a lowest ratio;
+# the fewest texts; and which part of the texts must differ around the line.
+PER_LENGTH, LOWEST, LEAST_TEXTS, APART = 0.3, 0.005, 5, 3
+# A text is known by the smallest of its lines' hashes, under so many hash functions.
+_HASHES = 4
 _BLANKS = " \t\r"
 
 
@@ -45,15 +52,68 @@ def frequent_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO,
     return over.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
+def frequent_in_sources(texts: DataFrame, source: str, text: str) -> DataFrame:
+    """(host, lines) as frequent_lines, by a ratio for whole sources.
+
+    A source is many sites, so the boilerplate of one site is on a small share of it; but a long line is hardly repeated by
+    chance. The ratio falls with the line's length: PER_LENGTH / characters, RATIO at most and LOWEST at least, and a line
+    must be in LEAST_TEXTS distinct texts. Near-copies of a text repeat all its lines without any being boilerplate: of the
+    texts with a line under RATIO, one in APART at least must be different around it. Two texts count as different where
+    the smallest hash of their other lines is; for texts that share most lines it mostly is the same.
+    """
+    bare = F.filter(F.transform(lines_of(F.col(text)), lambda x: F.btrim(x, F.lit(_BLANKS))), lambda x: x != "")
+    cap = math.ceil(PER_LENGTH / LOWEST)
+    sized = F.transform(
+        F.array_distinct(bare),
+        lambda x: F.struct(F.xxhash64(x).alias("line"), F.least(F.length(x), F.lit(cap)).cast("short").alias("size")),
+    )
+    known = texts.where(F.col(source).isNotNull()).select(
+        F.col(source).alias("host"), F.xxhash64(F.col(text)).alias("page"), sized.alias("lines")
+    )
+    once = stage(known.groupBy("host", "page").agg(F.first("lines").alias("lines")), "text-lines")
+    totals = once.groupBy("host").agg(F.count("*").alias("pages"))
+    counts = (
+        once.select("host", F.explode("lines").alias("x"))
+        .groupBy("host", F.col("x.line").alias("line"), F.col("x.size").alias("size"))
+        .agg(F.count("*").alias("with_line")).where(F.col("with_line") >= LEAST_TEXTS)
+    )
+    ratio = F.least(F.greatest(F.lit(PER_LENGTH) / F.col("size"), F.lit(LOWEST)), F.lit(RATIO))
+    often = counts.join(totals, "host").where(F.col("with_line") > F.col("pages") * ratio)
+    often = stage(often.select("host", "line", "with_line", (F.col("with_line") > F.col("pages") * RATIO).alias("sure")), "often")
+
+    def two_smallest(seed: int) -> Column:
+        found = F.transform("lines", lambda x: F.struct(F.xxhash64(x["line"], F.lit(seed)).alias("hash"), x["line"].alias("line")))
+        return F.slice(F.array_sort(found), 1, 2)
+
+    # (line, hash of the rest by each function): the second smallest where the line itself has the smallest
+    held = once.select("host", "lines", F.array(*(two_smallest(i) for i in range(_HASHES))).alias("least"))
+    held = held.select("host", "least", F.explode("lines.line").alias("line"))
+    met = held.join(often.where("not sure"), ["host", "line"])
+    rest = F.transform("least", lambda x: F.filter(x, lambda y: y["line"] != F.col("line"))[0]["hash"])
+    around = met.select("host", "line", "with_line", F.posexplode(rest).alias("function", "hash")).where("hash is not null")
+    kinds = around.groupBy("host", "line", "with_line", "function", "hash").agg(F.lit(1).alias("one"))
+    kinds = kinds.groupBy("host", "line", "with_line", "function").agg(F.count("*").alias("kinds"))
+    apart = kinds.where((F.col("kinds") >= LEAST_TEXTS) & (F.col("kinds") * APART >= F.col("with_line"))).select("host", "line").distinct()
+    found = often.where("sure").select("host", "line").union(apart)
+    return found.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+
+
 def without_boilerplate(
-    pages: DataFrame, host: str, text: str, ratio: float = RATIO, least: int = LEAST_PAGES, dropped: str | None = None
+    pages: DataFrame,
+    host: str,
+    text: str,
+    ratio: float = RATIO,
+    least: int = LEAST_PAGES,
+    dropped: str | None = None,
+    sources: bool = False,
 ) -> DataFrame:
     """The rows with frequent lines taken out of the text; all columns stay, `dropped` adds the number of lines gone.
 
-    Rows without host are left as they are. A null text stays null but counts as a page. Lines are those between \\n;
+    With `sources` the lines are those of frequent_in_sources, which has its own ratio and least count. Rows without host are left as they are. A null text stays null but counts as a page. Lines are those between \\n;
     blank lines are never dropped. Repeated rows are pages each. An empty table gives an empty result.
     """
-    found = stage(frequent_lines(pages, host, text, ratio, least), "boilerplate")
+    frequent = frequent_in_sources(pages, host, text) if sources else frequent_lines(pages, host, text, ratio, least)
+    found = stage(frequent, "boilerplate")
     found = found.select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
     met = pages.join(found, F.col(host) == F.col("__host"), "left")
 

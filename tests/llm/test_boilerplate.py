@@ -1,3 +1,5 @@
+import random
+
 from tests.conftest import rows as collected
 
 from stallbook.llm import boilerplate
@@ -61,3 +63,43 @@ def test_hosts_and_lines_of_pages(spark):
     )
     found = [tuple(r) for r in frame.select(boilerplate.host_of(frame["url"]), boilerplate.lines_of_html(frame["html"])).collect()]
     assert found == [("www.a.example", "\na\nb\ne"), (None, None), (None, "")]
+
+
+def test_lines_of_large_sources_are_found_at_a_small_share(documents):
+    n, rng = 2000, random.Random(5)
+    words = [f"{a}{b}" for a in "river stone cloud winter garden quickly seven bright".split() for b in "abcdefgh"]
+
+    def line(k):
+        return " ".join(rng.choice(words) for _ in range(k))
+
+    planted = {"Read more articles on this and other topics on our pages": 100, "Copyright by the authors of this site, all rights": 50,
+               "Please sign in to leave a comment below this article": 25, "Back to top of page": 100, "Menu": 300}
+    passage = ["A passage of several lines that a site puts", "under each of its articles, whatever they", "are about, from the first to the last one"]
+    texts = [[line(8) for _ in range(rng.randint(2, 12))] for _ in range(n)]
+    for text, often in planted.items():
+        for i in rng.sample(range(n), often):
+            texts[i].insert(rng.randint(0, len(texts[i])), text)
+    for i in rng.sample(range(n), 40):
+        texts[i] += passage
+    # clean: short words and lines under their ratio, and near-copies, each with a line of its own
+    clean = {"Yes.": 60, "Good morning": 30, "This line is quoted by a few of the texts only": 8}
+    for text, often in clean.items():
+        for i in rng.sample(range(n), often):
+            texts[i].append(text)
+    copied = [line(8) for _ in range(20)]
+    copies = [[line(8) if k == j % 20 else x for k, x in enumerate(copied)] for j in range(60)]
+    rows = [(i, "\n".join(lines), "en", "large") for i, lines in enumerate(texts + copies)]
+    found = collected(boilerplate.without_boilerplate(documents(rows), "source", "text", dropped="n", sources=True), "doc_id")
+    gone = set(planted) | set(passage)
+    for r in found:
+        before = (texts + copies)[r["doc_id"]]
+        assert r["text"].split("\n") == [x for x in before if x not in gone], r["doc_id"]
+        assert r["n"] == sum(x in gone for x in before)
+
+
+def test_small_and_awkward_sources(documents):
+    frame = documents([(i, f"Share this page\nown text {i}", "en", "small") for i in range(6)] + awkward())
+    found = {(r["doc_id"], r["source"]): r["text"] for r in collected(boilerplate.without_boilerplate(frame, "source", "text", sources=True))}
+    assert [found[i, "small"] for i in range(6)] == [f"own text {i}" for i in range(6)]
+    assert {k: v for k, v in found.items() if k[1] != "small"} == {(r[0], r[3]): r[1] for r in awkward()}
+    assert collected(boilerplate.without_boilerplate(documents([]), "source", "text", sources=True)) == []
