@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stallbook.llm import boilerplate, minmax, mixing, packing, quality
@@ -17,6 +17,8 @@ from stallbook.plans.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _SHINGLE, _PERCENT = 5, 80
+# About so many rows that agree in id, source and size are numbered by one task.
+_PART_ROWS = 4096
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,21 +44,45 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = mixing.mixed(docs).select("doc_id", "source", "size", "copies")
-    # rows that agree in id, source and size take their copies together
-    taken = stage(taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix")
-    names = {c: f"__{c}" for c in taken.columns}
+    """Each document as often as the mix takes it: not at all, once or twice.
+
+    Rows that agree in id, source and size take their copies together. Where these are no multiple of the rows, the rows
+    with the smallest hashes of their texts take one copy more than the others.
+    """
+    keys = ["doc_id", "source", "size"]
+    taken = mixing.mixed(docs).select(*keys, "copies")
+    taken = stage(taken.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix")
+    even = F.col("copies") % F.col("rows") == 0
+    sized = docs.withColumn("__size", mixing.words_in("text"))
+
+    def met(left: DataFrame, right: DataFrame, *more: str) -> DataFrame:
+        r = right.withColumnsRenamed({c: f"_{c}" for c in keys})
+        agree = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("__size") == F.col("_size"))
+        return left.join(r, [agree, *(F.col(m).eqNullSafe(F.col(f"_{m}")) for m in more)])
+
+    def repeated(rows: DataFrame, times: Column) -> DataFrame:
+        each = F.when(times > 0, F.sequence(F.lit(1), times.cast("int"))).otherwise(F.array().cast("array<int>"))
+        return rows.withColumn("__time", F.explode(each)).select(*docs.columns)
+
     # what is taken grows with the documents: it is matched by a shuffle at every size
-    t = taken.withColumnsRenamed(names).hint("merge")
-    sized = docs.withColumn("__n", mixing.words_in("text"))
-    met = sized.join(
-        t,
-        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__size")),
-    )
-    each = F.sequence(F.lit(1), F.ceil(F.col("__copies") / F.col("__rows")).cast("int"))
-    times = F.explode(F.when(F.col("__copies") > 0, each).otherwise(F.array().cast("array<int>")))
-    return met.withColumn("__time", times).select(*docs.columns)
+    whole = repeated(met(sized, taken.where(even & (F.col("copies") > 0)).hint("merge")), F.floor(F.col("copies") / F.col("rows")))
+
+    # many rows of one key are dealt over parts by the hashes of their texts; each part takes its share of what is left over
+    odd = taken.where(~even).withColumn("parts", F.ceil(F.col("rows") / _PART_ROWS).cast("long"))
+    hashed = sized.withColumn("__hash", F.xxhash64("text"))
+    width = F.floor(F.lit(2.0**64) / F.col("parts"))
+    part = F.least(F.floor((F.col("__hash") + F.lit(2.0**63)) / width), F.col("parts") - 1).alias("__part")
+    dealt = met(hashed.select("doc_id", "source", "__size", "__hash"), odd)
+    counts = dealt.groupBy("doc_id", "source", F.col("__size").alias("size"), part, "copies", "rows", "parts").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("more", F.col("copies") % F.col("rows") - F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    shares = stage(counts.select(*keys, F.col("__part").alias("___part"), "copies", "rows", "more"), "mix-shares")
+    parts = stage(odd.select(*keys, "parts"), "mix-parts")
+    placed = met(hashed, parts).select(*docs.columns, "__size", "__hash", part)
+    ordered = Window.partitionBy("doc_id", "source", "__size", "__part").orderBy("__hash")
+    own = met(placed, shares, "__part").withColumn("__place", F.row_number().over(ordered))
+    again = (F.col("__place") <= F.col("more")).cast("int")
+    return whole.union(repeated(own, F.floor(F.col("copies") / F.col("rows")) + again))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import corpus_pipeline
 import pytest
@@ -64,6 +65,26 @@ def test_repeated_rows_become_one(spark, documents):
     assert sorted(r["doc_id"] for r in collected(found)) == [1, 3]
 
 
+@pytest.mark.parametrize("part_rows", [4096, 50])
+def test_rows_that_agree_take_together_what_the_mix_decided(spark, documents, monkeypatch, part_rows):
+    monkeypatch.setattr(corpus_pipeline, "_PART_ROWS", part_rows)
+    rows = [(None, f"one size of text {i}", "en", "b") for i in range(400)] + [(7, f"text {i} of one number", "en", None) for i in range(9)]
+    rows += [(1000 + i, f"another text {i} " * 3, "en", "a") for i in range(300)] + [(None, "the very same", "en", "b")] * 30
+    docs = documents(rows)
+    decided = collected(corpus_pipeline.mixing.mixed(docs))
+    taken = collected(corpus_pipeline.source_mix(spark, docs, ""))
+
+    def total(rows, copies):
+        return sum(copies(r) for r in rows if r["doc_id"] is None and r["source"] == "b")
+
+    wanted = total(decided, lambda r: r["copies"])
+    assert wanted % 430 and total(taken, lambda r: 1) == wanted
+    assert len(taken) == sum(r["copies"] for r in decided)
+    times = Counter(r["text"] for r in taken if r["source"] == "b")
+    assert max(n for t, n in times.items() if t != "the very same") - min(times[t] for d, t, _, s in rows if d is None and t != "the very same") <= 1
+    assert sorted(r["text"] for r in taken) == sorted(r["text"] for r in collected(corpus_pipeline.source_mix(spark, documents(rows[::-1], 5), "")))
+
+
 def test_run_reads_the_folder_and_takes_an_empty_table(spark, documents, raw, tmp_path):
     documents([]).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert collected(corpus_pipeline.run(spark, str(tmp_path / "none"))) == []
