@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import boilerplate, langid, licenses, minmax, mixing, neighbours, packing, pii, quality, secrets
+from stallbook.llm import boilerplate, byte_bpe, langid, licenses, minmax, mixing, neighbours, packing, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,12 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digested(secrets.scanned(_table(spark, folder, "documents")))
 
 
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    texts = _table(spark, folder, "documents").select("doc_id", "text")
+    return byte_bpe.digested(byte_bpe.decoded(byte_bpe.encoded(texts, ranks, pattern), ranks, pattern))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -73,6 +79,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_langid": op9_langid,
         "op10_secrets": op10_secrets,
+        "op13_byte_bpe": op13_byte_bpe,
     }
 
 
