@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import boilerplate, byte_bpe, langid, licenses, minmax, mixing, neighbours, packing, pii, prefix_trie, quality, secrets
+from stallbook.llm import boilerplate, byte_bpe, langid, licenses, minmax, mixing, neighbours, packing, pii, prefix_trie, quality, secrets, spelling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digested(secrets.scanned(_table(spark, folder, "documents")))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.counted(_table(spark, folder, "documents")))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = prefix_trie.numbered(_table(spark, folder, "conversations"))
     return prefix_trie.prefix_nodes(prefix_trie.branched(turns))
@@ -84,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_langid": op9_langid,
         "op10_secrets": op10_secrets,
+        "op11_spelling": op11_spelling,
         "op12_prefix_trie": op12_prefix_trie,
         "op13_byte_bpe": op13_byte_bpe,
     }
@@ -293,6 +298,39 @@ CRC_TABLE = """crc_table AS (
   FROM (SELECT unnest(range(256))::BIGINT AS n)
 )"""
 
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-zÀ-ÿ]+')) AS run FROM documents
+), each AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), drawn AS (
+  SELECT run, n, {_crc32_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM each CROSS JOIN crc_table t
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM drawn
+  ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), gaps AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), links AS (
+  SELECT a.word AS a, a.n AS an, b.word AS b, b.n AS bn FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word < b.word
+  UNION SELECT a.word, a.n, g.word, g.n FROM words a JOIN gaps g ON g.rest = a.word
+), sides AS (
+  SELECT a AS word, an AS n, b AS other, bn AS other_n FROM links UNION ALL SELECT b, bn, a, an FROM links
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM sides GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n FROM words w LEFT JOIN best b USING (word)
+), steps AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.next
+)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s ON s.word = f.word AND s.next IS NULL
+"""
+
 PREFIX_SQL = f"""
 WITH {CRC_TABLE}, said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
@@ -342,5 +380,6 @@ def statements() -> dict[str, str]:
         "op5_quality": QUALITY_SQL,
         "op7_neighbours": NEIGHBOURS_SQL,
         "op10_secrets": _secrets_sql(),
+        "op11_spelling": SPELLING_SQL,
         "op12_prefix_trie": PREFIX_SQL,
     }
