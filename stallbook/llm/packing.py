@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.tokens import word_tokenizer
+from stallbook.llm.tokens import REMEMBERED, word_tokenizer
 
 END_ID = 2
 # Examples that wait in a task; packing starts at this number and stops at half of it.
@@ -150,17 +150,19 @@ def packed(
     key: str = "doc_id",
     text: str = "text",
     prompt: str | None = None,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row for each piece of an example: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens.
 
     An example's ids are those of the prompt, if a prompt column is named, then those of the text, then END_ID; all but
     the prompt's bear loss. A null text or prompt is empty, so a null text alone gives the one id END_ID. Keys may be
     null or repeated; each row is packed. An empty table gives an empty result. Sequences are numbered within the
-    input partitions, so equal partitions give equal results. `tokenizer` is the path of the tokenizer's file.
+    input partitions, so equal partitions give equal results. `tokenizer` is the path of the tokenizer's file. A Python
+    worker remembers the ids of so many words; that changes its time and memory, never the result.
     """
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = word_tokenizer(tokenizer), Packer(limits)
+        words, packer = word_tokenizer(tokenizer, remembered), Packer(limits)
         number = TaskContext.get().partitionId() * _NUMBERS
 
         def finished() -> pa.RecordBatch:

@@ -18,7 +18,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    # room for the words of a large part of the texts: nothing else of the query takes memory
+    return packing.packed(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), remembered=1_000_000)
 
 
 def op2_boilerplate(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,8 +15,8 @@ import regex
 from tokenizers import Tokenizer
 
 _SLICE = 1 << 20
-# Words and word parts remembered by a Python worker, at about 180 bytes each.
-_WORDS, _PARTS = 200_000, 300_000
+# Words remembered by a Python worker, and as many of their parts, at about 180 bytes each.
+REMEMBERED = 200_000
 # Characters whose normal form is themselves and whose lower case is one character; no white space among them.
 _PLAIN = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
 _SPECIAL = b"<|"
@@ -29,13 +29,37 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+class Recent:
+    """The ids of the words met last: a young and an old half.
+
+    A word found in the old half moves to the young one. When that is full it becomes the old one, and what nobody asked
+    for since the last time goes.
+    """
+
+    def __init__(self, size: int):
+        self.half, self.young, self.old = max(size // 2, 1), {}, {}
+
+    def get(self, word):
+        ids = self.young.get(word)
+        if ids is None:
+            ids = self.old.get(word)
+            if ids is not None:
+                self.put(word, ids)
+        return ids
+
+    def put(self, word, ids: bytes) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[word] = ids
+
+
 class WordTokenizer:
     """Ids of texts as little-endian unsigned 16- or 32-bit numbers; texts are bytes.
 
     For tokenizer files of one layout: NFC, white space and lower case normalized; split by one pattern; byte-level BPE.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             layout = json.load(file)
@@ -49,8 +73,7 @@ class WordTokenizer:
         size = self.width.itemsize
         self.packed = [i.to_bytes(size, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.letters = _byte_letters()
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Recent(remembered), Recent(remembered)
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.width).tobytes()
@@ -58,7 +81,8 @@ class WordTokenizer:
     def _part(self, part: str) -> bytes:
         text = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
         packed = self.packed
-        ids = self.parts[part] = b"".join([packed[t.id] for t in self.tokenizer.model.tokenize(text)])
+        ids = b"".join([packed[t.id] for t in self.tokenizer.model.tokenize(text)])
+        self.parts.put(part, ids)
         return ids
 
     def _word(self, word: bytes) -> bytes:
@@ -80,27 +104,24 @@ class WordTokenizer:
                 high += 1
             piece = text[low:high]
             words = (piece if _SPECIAL in piece else piece.lower()).split()  # bytes.lower() is for A-Z only
-            packed = list(map(self.words.get, words))
+            packed = list(map(self.words.young.get, words))
             if None in packed:
-                if len(self.words) > _WORDS:
-                    self.words.clear()
-                if len(self.parts) > _PARTS:
-                    self.parts.clear()
                 for i, ids in enumerate(packed):
                     if ids is None:
                         packed[i] = self.words.get(words[i])
                         if packed[i] is None:
-                            packed[i] = self.words[words[i]] = self._word(words[i])
+                            packed[i] = self._word(words[i])
+                            self.words.put(words[i], packed[i])
             found.append(b"".join(packed))
             low = high
         return np.frombuffer(b"".join(found), dtype=self.width)
 
 
-_loaded: dict[str, WordTokenizer] = {}
+_loaded: dict[tuple[str, int], WordTokenizer] = {}
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
-    """One per Python worker and file."""
-    if path not in _loaded:
-        _loaded[path] = WordTokenizer(path)
-    return _loaded[path]
+def word_tokenizer(path: str, remembered: int = REMEMBERED) -> WordTokenizer:
+    """One per Python worker, file and number of remembered words."""
+    if (path, remembered) not in _loaded:
+        _loaded[path, remembered] = WordTokenizer(path, remembered)
+    return _loaded[path, remembered]
