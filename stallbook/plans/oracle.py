@@ -46,6 +46,9 @@ def stamp(value: str) -> str:
     return f"strftime({value}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+# The part types that come second in a pair, which is all but the first in the alphabet.
+SECOND_CATEGORIES = "'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'"
+
 # --- shared relations ----------------------------------------------------------------
 
 ORDERS = """
@@ -353,7 +356,8 @@ SELECT abc_class, {big('count(*)')} AS products, {dbl('sum(exact_revenue)')} AS
     sql["top_pairs"] = f"{affinity_head} SELECT * FROM affinity ORDER BY affinity_score DESC, cat1, cat2 LIMIT 10"
     sql["affinity_matrix"] = f"""{affinity_head}
 SELECT cat1, coalesce(COLUMNS(* EXCLUDE (cat1)), 0.0)
-FROM (PIVOT (SELECT cat1, cat2, affinity_score FROM affinity) ON cat2 USING max(affinity_score) GROUP BY cat1)"""
+FROM (PIVOT (SELECT cat1, cat2, affinity_score FROM affinity) ON cat2 IN ({SECOND_CATEGORIES})
+      USING max(affinity_score) GROUP BY cat1)"""
 
     # customers
     sql["member_summary"] = f"""{heading(SALES, USERS)}
@@ -436,16 +440,26 @@ WHERE churn_risk IN ('At Risk', 'Churned') ORDER BY days_since_last DESC, user_i
     sql["user_baskets"] = f"""{sales},
 d AS (SELECT DISTINCT user_id, name FROM sales)
 SELECT user_id, string_agg(name, ', ' ORDER BY name) AS items FROM d GROUP BY user_id"""
-    sql["association_rules"] = f"""{sales},
+    # itemsets grow by an item of a larger number and keep the users who have all of it
+    sql["association_rules"] = f"""{sales.replace("WITH", "WITH RECURSIVE", 1)},
 d AS (SELECT DISTINCT user_id, name FROM sales),
-t AS (SELECT count(DISTINCT user_id) AS n FROM d),
-one AS (SELECT name, count(*) AS c FROM d GROUP BY name HAVING count(*) >= ceil({RULE_SUPPORT} * (SELECT n FROM t))),
-two AS (SELECT a.name AS x, b.name AS y, count(*) AS c FROM d a JOIN d b ON a.user_id = b.user_id AND a.name <> b.name
-        GROUP BY 1, 2 HAVING count(*) >= ceil({RULE_SUPPORT} * (SELECT n FROM t)))
-SELECT x AS antecedent, y AS consequent, {div('two.c', 'ox.c')} AS confidence,
-       {div('two.c', 'ox.c')} / {div('oy.c', '(SELECT n FROM t)')} AS lift, {div('two.c', '(SELECT n FROM t)')} AS support
-FROM two JOIN one ox ON ox.name = x JOIN one oy ON oy.name = y
-WHERE {div('two.c', 'ox.c')} >= {RULE_CONFIDENCE}"""
+t AS (SELECT count(DISTINCT user_id) AS n, ceil({RULE_SUPPORT} * count(DISTINCT user_id)) AS least FROM d),
+one AS (SELECT name, row_number() OVER (ORDER BY name) AS i, list(user_id ORDER BY user_id) AS users
+        FROM d GROUP BY name HAVING count(*) >= (SELECT least FROM t)),
+sets AS (
+  SELECT [name] AS items, i AS last, users FROM one
+  UNION ALL
+  SELECT * FROM (SELECT list_append(s.items, o.name) AS items, o.i AS last, list_intersect(s.users, o.users) AS users
+                 FROM sets s JOIN one o ON o.i > s.last)
+  WHERE len(users) >= (SELECT least FROM t)),
+freq AS (SELECT items, len(users) AS c FROM sets),
+each AS (SELECT list_filter(items, lambda x: x <> y) AS given, y, c
+         FROM (SELECT items, c, unnest(items) AS y FROM freq WHERE len(items) > 1))
+SELECT array_to_string(given, ', ') AS antecedent, y AS consequent, {div('each.c', 'g.c')} AS confidence,
+       {div('each.c', 'g.c')} / {div('o.c', 't.n')} AS lift, {div('each.c', 't.n')} AS support
+FROM each JOIN freq g ON g.items = each.given JOIN freq o ON o.items = [each.y] CROSS JOIN t
+WHERE {div('each.c', 'g.c')} >= {RULE_CONFIDENCE}"""
+    sql["vertical_rules"] = sql["association_rules"]
 
     # behaviour
     sql["daily_events"] = f"""SELECT {day('ts')} AS event_date, event_type, {big('count(*)')} AS event_count

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import compact_number, joined
-from ..operators import basket, behaviour, customers, finance, monitor, products, serving
+from ..operators import basket, behaviour, customers, finance, itemsets, monitor, products, serving
 from ..operators.sales import (
     average_dwell,
     build_lines,
@@ -43,8 +43,7 @@ COMPLETED = "F"
 PRICE = {"low": 50000, "mid": 50000, "high": 55000, "many": 5, "few": 5}
 PROMOTER, PASSIVE = (15, 900000), (8, 400000)
 CLV_TIERS = (500000, 300000, 100000)
-# The reference's values. Rules over names have antecedents of any size; the SQL counts pairs, so it covers the rules of one
-# name only, and tests count the others by brute force.
+# The reference's values.
 RULE_SUPPORT, RULE_CONFIDENCE = 0.01, 0.1
 TARGET_RATE = 0.004
 
@@ -463,6 +462,11 @@ def association_rules(star):
     return basket.association_rules(basket.baskets(sales(star)), RULE_SUPPORT, RULE_CONFIDENCE)
 
 
+@query
+def vertical_rules(star):
+    return itemsets.vertical_rules(sales(star), "user_id", "name", RULE_SUPPORT, RULE_CONFIDENCE)
+
+
 @query
 def category_rules(star):
     """Rules of one and more categories bought together in an order, at one percent support."""
