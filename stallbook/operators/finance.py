@@ -111,6 +111,11 @@ def category_performance(sales: DataFrame, approx: bool = False) -> DataFrame:
     )
     if not approx:
         totals = totals.join(orders, F.col("category").eqNullSafe(F.col("of_category")))
+    return category_figures(totals)
+
+
+def category_figures(totals: DataFrame) -> DataFrame:
+    """Profit, margin and order value of the totals per category."""
     profit = F.col("total_revenue") - F.col("total_cost")
     return totals.select(
         "category",
@@ -178,6 +183,11 @@ def payment_mix(sales: DataFrame) -> DataFrame:
             F.count_distinct("user_id").alias("unique_users"),
         )
     )
+    return payment_figures(methods)
+
+
+def payment_figures(methods: DataFrame) -> DataFrame:
+    """Mean line value and revenue share of the totals per payment method."""
     return methods.select(
         "payment_method",
         "total_orders",

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import basket, behaviour, customers, finance, products
+from ..operators import behaviour, customers, finance, itemsets, products
 from ..operators.sales import build_sales, order_facts, order_rollup
 from ..sources.tables import write_all
 from .staging import stage
@@ -173,8 +173,8 @@ def build_gold(
             return found.drop("prediction").withColumnsRenamed({"recency": "recency_days", "monetary": "monetary_value"})
 
         tables["gold_ml_rfm"] = four_segments
-        tables["gold_ml_association"] = lambda: basket.association_rules(
-            basket.baskets(sales, rules.basket_by), rules.min_support, rules.min_confidence
+        tables["gold_ml_association"] = lambda: itemsets.vertical_rules(
+            sales, rules.basket_by, "name", rules.min_support, rules.min_confidence
         )
         tables["gold_rfm_v2"] = lambda: customers.rfm_segments(customers.rfm_clusters(rfm, k=5), bronze.users)
     wanted = {name: make() for name, make in tables.items() if only is None or name in only}

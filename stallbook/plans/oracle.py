@@ -12,6 +12,7 @@ from .registry import (
     PASSIVE,
     PRICE,
     PROMOTER,
+    REFRESHED,
     RULE_CONFIDENCE,
     RULE_SUPPORT,
     TARGET_RATE,
@@ -659,6 +660,16 @@ SELECT list_aggregate(a.items, 'string_agg', ', ') AS antecedent, list_aggregate
 FROM freq w JOIN freq a ON list_has_all(w.items, a.items) AND len(a.items) = len(w.items) - 1
 JOIN freq b ON list_has_all(w.items, b.items) AND len(b.items) = 1 AND NOT list_has_any(a.items, b.items)
 WHERE {div('w.c', 'a.c')} >= {RULE_CONFIDENCE}"""
+    sql["yearly_buyers_by_city"] = f"""{heading(SALES, USERS)}
+SELECT city, strftime(order_date, '%Y') AS year, {big('count(DISTINCT user_id)')} AS buyers
+FROM sales JOIN usr USING (user_id) GROUP BY ALL"""
+    sql["quarterly_active_buyers"] = f"""{heading(SALES, USERS)},
+bought AS (SELECT DISTINCT user_id, date_trunc('month', order_date) AS m FROM sales JOIN usr USING (user_id)),
+months AS (SELECT DISTINCT m FROM bought)
+SELECT strftime(months.m, '%Y-%m') AS order_month, {big('count(DISTINCT user_id)')} AS buyers
+FROM months JOIN bought ON bought.m <= months.m AND bought.m > months.m - INTERVAL 3 MONTH GROUP BY months.m"""
     for table, query in GOLD_TABLES.items():
         sql[table] = sql[query]
+        if f"refreshed_{query}" in REFRESHED:
+            sql[f"refreshed_{query}"] = sql[query]
     return sql

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import compact_number, joined
-from ..operators import basket, behaviour, customers, finance, itemsets, monitor, products, serving
+from ..operators import basket, behaviour, customers, distinct, finance, itemsets, monitor, products, serving
 from ..operators.sales import (
     average_dwell,
     build_lines,
@@ -36,6 +37,8 @@ from ..streaming import (
     without_known,
 )
 from .gold import Bronze, Rules, build_gold
+from .monthly import TABLES as MONTHLY_TABLES
+from .monthly import MonthlyGold
 from .staging import new_folder, stage
 
 # Thresholds under which every class of the test tables has members.
@@ -147,23 +150,43 @@ def fitted_well(star: StarRetail, k: int, count_lines: bool = False) -> DataFram
     ).select("users", "total", "near_own_centre", labels["segments"].alias("segments"), labels["rising"].alias("rising"))
 
 
-def gold_table(star: StarRetail, name: str) -> DataFrame:
-    """One table of the gold build, written to a folder and loaded again."""
-    bronze = Bronze(
+def bronze_of(star: StarRetail) -> Bronze:
+    return Bronze(
         items=star.items, orders=star.orders, products=star.products, users=star.users, returns=star.returns,
         suppliers=star.suppliers, purchase_orders=star.purchase_orders, clicks=star.clicks, tickets=star.tickets,
     )
-    rules = Rules(
+
+
+def rules() -> Rules:
+    return Rules(
         completed=COMPLETED, amount=F.col("line_amount"), clv_tiers=CLV_TIERS,
         price_bounds=(PRICE["low"], PRICE["mid"], PRICE["high"]), price_counts=(PRICE["many"], PRICE["few"]),
-        promoter=PROMOTER, passive=PASSIVE, stages=STAGES,
+        promoter=PROMOTER, passive=PASSIVE, stages=STAGES, min_confidence=RULE_CONFIDENCE, min_support=RULE_SUPPORT,
     )
-    build = build_gold(bronze, rules, include_ml=False, only=(name,))
+
+
+def gold_table(star: StarRetail, name: str) -> DataFrame:
+    """One table of the gold build, written to a folder and loaded again."""
+    build = build_gold(bronze_of(star), rules(), include_ml=False, only=(name,))
     folder = new_folder(star.spark, "gold")
     build.write(lambda frame, table: write_table(frame, table, path=f"{folder}/{table}"))
     return star.spark.read.parquet(f"{folder}/{name}")
 
 
+def refreshed_table(star: StarRetail, name: str) -> DataFrame:
+    """A table after a refresh: the first build had wrong orders in two months, one of them stored as another."""
+    wrong, moved, to = "1995-03", "1995-05", "2030-01"
+    month = F.date_format("order_date", "yyyy-MM")
+    then = star.orders.where((month != wrong) | (F.col("order_id") % 3 != 0)).withColumn(
+        "order_date", F.when(month == moved, F.lit(f"{to}-07").cast("timestamp_ntz")).otherwise(F.col("order_date"))
+    )
+    bronze = bronze_of(star)
+    store = MonthlyGold(star.spark, new_folder(star.spark, "monthly"), rules(), (name,))
+    store.refresh(dataclasses.replace(bronze, orders=then))
+    store.refresh(bronze, [wrong, moved, to])
+    return store.table(name, bronze)
+
+
 def nps_classes(star: StarRetail) -> DataFrame:
     return customers.nps_segments(customers.nps_users(lines(star), PROMOTER, PASSIVE))
 
@@ -782,6 +805,28 @@ def stream_enriched(star):
     )
 
 
+# --- exact distinct counts from stored bitmaps -----------------------------------------
+
+
+def buyers_by_month(star: StarRetail) -> DataFrame:
+    """Bitmaps of the users who bought, per city and month, written once."""
+    bought = lines(star).join(star.users.select("user_id", "city"), "user_id")
+    return stage(distinct.distinct_bitmaps(bought, ["city", "order_month"], "user_id"), "buyers")
+
+
+@query
+def yearly_buyers_by_city(star):
+    year = F.substring("order_month", 1, 4)
+    counts = distinct.distinct_counts(buyers_by_month(star).withColumn("year", year), ["city", "year"], "buyers")
+    return counts.select("city", "year", "buyers")
+
+
+@query
+def quarterly_active_buyers(star):
+    """Buyers of each month and the two before it."""
+    return distinct.rolling_counts(buyers_by_month(star), "order_month", [], 3, "buyers")
+
+
 # --- the gold build: each table through write and load, with the SQL of the query of the same content ----------------
 
 GOLD_TABLES = {
@@ -818,3 +863,18 @@ def _through_gold(name: str) -> Query:
 
 
 _QUERIES.update({name: _through_gold(name) for name in GOLD_TABLES})
+
+# --- gold tables of monthly parts, after some months have changed ------------------------
+
+REFRESHED = {
+    f"refreshed_{query}": table
+    for table, query in GOLD_TABLES.items()
+    if table in MONTHLY_TABLES
+}
+
+
+def _after_refresh(table: str) -> Query:
+    return lambda star: refreshed_table(star, table)
+
+
+_QUERIES.update({name: _after_refresh(table) for name, table in REFRESHED.items()})
