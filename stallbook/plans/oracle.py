@@ -625,6 +625,11 @@ SELECT {bounds(3600)}, {big('count(*)')} AS orders, {dbl('sum(CAST(value AS DECI
        {div('sum(CAST(value AS DECIMAL(18,2)))', 'count(*)')} AS avg_value, TRUE AS customers_near
 FROM win GROUP BY w0 {closed(3600, 3600)}"""
     sql["stream_deduplicated"] = sql["deduplicated_events"]
+    first = f"SELECT event_id, user_id, event_type, {stamp('ts')} AS ts, value FROM events"
+    last = "ts + CASE WHEN event_id % 3 = 0 THEN INTERVAL 5 MINUTE ELSE INTERVAL 0 MINUTE END"
+    sql["earliest_of_copies"] = first
+    sql["stream_earliest"] = f"{first} WHERE {last} + INTERVAL 1 HOUR <= (SELECT max({last}) FROM events) - INTERVAL 1 DAY"
+    sql["stream_appended"] = sql["deduplicated_events"]
     sql["stream_enriched"] = f"""{heading(EVENTS, USERS)}
 SELECT event_id, ev.user_id, '/page/' || CAST(k AS VARCHAR) AS url, k AS duration_sec, name, city
 FROM ev LEFT JOIN usr USING (user_id)"""

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,15 +26,20 @@ from ..session import prepare
 from ..sources import StarRetail, read_documents, recent_documents, write_table
 from ..sources.star import STAGES, STAR_SCHEMAS
 from ..streaming import (
+    CommitLog,
+    append_new,
     daily_funnel,
     dedup_events,
+    earliest_events,
     enrich_stream,
     event_mix,
     hourly_amount,
+    once_per_batch,
     orders_per_minute,
     rolling_kpis,
     rolling_rate,
     run_to_table,
+    stream_to_gold,
     without_known,
 )
 from .gold import Bronze, Rules, build_gold
@@ -196,27 +202,51 @@ def event_stream(star: StarRetail) -> DataFrame:
     return star.spark.readStream.schema(STAR_SCHEMAS["events"]).parquet(f"{star.folder}/event[s].parquet")
 
 
-def ordered_stream(
-    star: StarRetail, parts: int = 3, again: Callable[[Column, int, int], Column] | None = None
+def arriving(star: StarRetail, rows: DataFrame, parts: Sequence[Column]) -> DataFrame:
+    """A stream of events that come part after part, a micro-batch each.
+
+    A part is written by all tasks, as equally many files as any other: files that are missing are added without rows.
+    """
+    spark, folder = star.spark, new_folder(star.spark, "events")
+    files = max(spark.sparkContext.defaultParallelism, 1)
+    for n, condition in enumerate(parts):
+        path = f"{folder}/part={n}"
+        own = rows.filter(condition)
+        own.repartition(files).write.parquet(path)
+        for _ in range(files - len(spark.read.schema(own.schema).parquet(path).inputFiles())):
+            own.limit(0).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(STAR_SCHEMAS["events"]).option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{folder}/part=*")
+
+
+MICROS = "unix_micros(CAST(ts AS timestamp))"
+
+
+def time_ranges(star: StarRetail, parts: int) -> tuple[int, int, int]:
+    """The first and the last time of the events and the length of a part, in microseconds."""
+    ends = star.raw("events").agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    ends = ends.select(F.unix_micros(F.col("low").cast("timestamp")), F.unix_micros(F.col("high").cast("timestamp"))).first()
+    low, high = ends[0] or 0, ends[1] or 0
+    return low, high, (high - low) // parts + 1
+
+
+def streamed(
+    star: StarRetail,
+    build: Callable[[DataFrame], DataFrame],
+    label: str,
+    parts: int = 3,
+    again: Callable[[Column, int, int], Column] | None = None,
 ) -> DataFrame:
-    """The events by time in several files, one per micro-batch.
+    """What a stream makes of the events that come by time in some parts.
 
-    ``again`` selects rows that arrive once more at the end, by their time, the
-    first and the last time in microseconds.
+    ``again`` selects rows that come once more at the end, by their time, the first and the last time in microseconds.
     """
-    events = star.raw("events")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    ends = events.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
-    low, high = ends["low"] or 0, ends["high"] or 0
-    step = (high - low) // parts + 1
-    folder = new_folder(star.spark, "events")
-    for n in range(parts):
-        own = (micros - low).between(n * step, (n + 1) * step - 1)
-        events.filter(own).coalesce(1).write.parquet(f"{folder}/part={n}")
+    low, high, step = time_ranges(star, parts)
+    at = F.expr(MICROS)
+    conditions = [(at - low).between(n * step, (n + 1) * step - 1) for n in range(parts)]
     if again is not None:
-        events.filter(again(micros, low, high)).coalesce(1).write.parquet(f"{folder}/part={parts}")
-    reader = star.spark.readStream.schema(STAR_SCHEMAS["events"]).option("maxFilesPerTrigger", 1)
-    return reader.parquet(f"{folder}/part=*")
+        conditions.append(again(at, low, high))
+    return run_to_table(build(arriving(star, star.raw("events"), conditions)), label)
 
 
 # --- sales fact ----------------------------------------------------------------------
@@ -746,40 +776,40 @@ def orders_without_conflicts(star):
 
 @query
 def stream_orders_by_minute(star):
-    return run_to_table(orders_per_minute(ordered_stream(star), "ts"), "minutes")
+    return streamed(star, lambda rows: orders_per_minute(rows, "ts"), "minutes")
 
 
 @query
 def stream_late_rows(star):
     """The first day's events come again after the watermark has passed them, and are dropped."""
-    late = ordered_stream(star, again=lambda at, low, high: at < low + 86_400_000_000)
-    return run_to_table(orders_per_minute(late, "ts"), "late")
+    again = lambda at, low, high: at < low + 86_400_000_000
+    return streamed(star, lambda rows: orders_per_minute(rows, "ts"), "late", again=again)
 
 
 @query
 def stream_amount_by_hour(star):
-    return run_to_table(hourly_amount(ordered_stream(star), "ts", "value"), "hours")
+    return streamed(star, lambda rows: hourly_amount(rows, "ts", "value"), "hours")
 
 
 @query
 def stream_sliding_rate(star):
-    return run_to_table(rolling_rate(ordered_stream(star), "ts"), "rates")
+    return streamed(star, lambda rows: rolling_rate(rows, "ts"), "rates")
 
 
 @query
 def stream_event_mix(star):
-    return run_to_table(event_mix(ordered_stream(star), "ts", "event_type"), "mix")
+    return streamed(star, lambda rows: event_mix(rows, "ts", "event_type"), "mix")
 
 
 @query
 def stream_daily_funnel(star):
-    return run_to_table(daily_funnel(ordered_stream(star), "ts"), "funnel")
+    return streamed(star, lambda rows: daily_funnel(rows, "ts"), "funnel")
 
 
 @query
 def stream_sliding_kpis(star):
     """Exact figures of the closed windows, and whether the sketch of the customers is within ten percent."""
-    found = run_to_table(rolling_kpis(ordered_stream(star), "ts", "value", "user_id"), "kpis")
+    found = streamed(star, lambda rows: rolling_kpis(rows, "ts", "value", "user_id"), "kpis")
     exact = rolling_kpis(star.clicks, "timestamp", "value", "user_id", exact=True)
     truth = exact.select("window_start", F.col("customers").alias("true_customers"))
     near = F.abs(F.col("customers") - F.col("true_customers")) <= F.col("true_customers") * 0.1
@@ -791,9 +821,64 @@ def stream_sliding_kpis(star):
 @query
 def stream_deduplicated(star):
     """Each event of the last twelve hours arrives twice, in different micro-batches."""
-    twice = ordered_stream(star, again=lambda at, low, high: at > high - 43_200_000_000)
-    unique = dedup_events(twice, "event_id", "ts", "1 day")
-    return run_to_table(unique.select("event_id", "user_id", "event_type"), "unique", mode="append")
+    again = lambda at, low, high: at > high - 43_200_000_000
+    unique = lambda rows: dedup_events(rows, "event_id", "ts", "1 day").select("event_id", "user_id", "event_type")
+    return streamed(star, unique, "unique", again=again)
+
+
+def copied_events(star: StarRetail) -> DataFrame:
+    """The events, and of every third a copy that is five minutes younger and says otherwise."""
+    events = star.raw("events")
+    copies = events.filter("event_id % 3 = 0").withColumns(
+        {"ts": F.expr("ts + INTERVAL 5 MINUTES"), "event_type": F.upper("event_type"), "value": F.col("value") + 1}
+    )
+    return events.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)))
+
+
+@query
+def stream_earliest(star):
+    """Half of the events of the twelve hours before a part ends come a part late, long after their copies."""
+    parts, half_day = 3, 43_200_000_000
+    low, high, step = time_ranges(star, parts)
+    own = F.floor((F.expr(MICROS) - F.when(F.col("copy"), 300_000_000).otherwise(0) - low) / step)
+    late = ~F.col("copy") & (F.col("event_id") % 2 == 0) & (F.expr(MICROS) >= low + (own + 1) * step - half_day)
+    part = F.least(own + late.cast("int"), F.lit(parts - 1))
+    stream = arriving(star, copied_events(star), [part == n for n in range(parts)])
+    first = earliest_events(stream, "event_id", "ts", "1 hour", "1 day").select("event_id", "user_id", "event_type", "ts", "value")
+    return run_to_table(first, "earliest")
+
+
+@query
+def earliest_of_copies(star):
+    first = earliest_events(copied_events(star).drop("copy"), "event_id", "ts", "1 hour")
+    return first.select("event_id", "user_id", "event_type", "ts", "value")
+
+
+@query
+def stream_appended(star):
+    """A table that holds every fifth event gets all of them, some twice; once the writer dies after it has written."""
+    folder = new_folder(star.spark, "appended")
+    events = star.raw("events")
+    events.filter("event_id % 5 = 0").write.parquet(f"{folder}/table")
+    load = lambda: star.spark.read.schema(events.schema).parquet(f"{folder}/table")
+    log = CommitLog(star.spark, f"{folder}/commits")
+    append = append_new(load, lambda new: new.write.mode("append").parquet(f"{folder}/table"), "event_id", "ts")
+    dies = {1}
+
+    def write(batch: DataFrame, number: int) -> None:
+        append(batch, number)
+        if number in dies:
+            dies.remove(number)
+            raise RuntimeError("the writer is lost after writing and before its record")
+
+    low, high, step = time_ranges(star, 2)
+    at = F.expr(MICROS)
+    stream = arriving(star, events, [at < low + step, at >= low + step - 43_200_000_000])
+    try:
+        stream_to_gold(stream, once_per_batch(write, log), f"{folder}/state").awaitTermination()
+    except StreamingQueryException:  # started again, the query gets the same batch once more
+        stream_to_gold(stream, once_per_batch(write, log), f"{folder}/state").awaitTermination()
+    return load().select("event_id", "user_id", "event_type")
 
 
 @query

@@ -1,6 +1,15 @@
 """Live monitors. Every transformation takes a batch or a streaming DataFrame."""
 
-from .ingest import append_new, dedup_events, enrich_stream, run_to_table, stream_to_gold, without_known
+from .commits import CommitLog, once_per_batch
+from .ingest import (
+    append_new,
+    dedup_events,
+    earliest_events,
+    enrich_stream,
+    run_to_table,
+    stream_to_gold,
+    without_known,
+)
 from .windows import (
     daily_funnel,
     event_mix,
@@ -12,13 +21,16 @@ from .windows import (
 )
 
 __all__ = [
+    "CommitLog",
     "append_new",
     "daily_funnel",
     "dedup_events",
+    "earliest_events",
     "enrich_stream",
     "event_mix",
     "event_time",
     "hourly_amount",
+    "once_per_batch",
     "orders_per_minute",
     "rolling_kpis",
     "rolling_rate",

@@ -30,6 +30,32 @@ def dedup_events(
     return timed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
+def earliest_events(
+    rows: DataFrame,
+    key: str | Sequence[str] = "event_id",
+    ts: str = "timestamp",
+    within: str = "1 hour",
+    watermark: str = "10 minutes",
+) -> DataFrame:
+    """The earliest copy of each key, in a stream as in a batch, in whatever order copies arrive.
+
+    Copies of a key lie less than ``within`` apart, one from the next. A stream keeps a key's earliest copy as state and
+    hands it on when the watermark is ``within`` past its last one; ties go by the other columns. So the state is
+    bounded by the two intervals. Copies farther apart, or later than the watermark, are not the same event to it.
+    Rows without key or time are left out.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    timed = event_time(rows, ts).dropna(subset=[*keys, ts])
+    rest = [c for c in timed.columns if c not in keys and c != ts]
+    if rows.isStreaming:
+        timed = timed.withWatermark(ts, watermark)
+    first = timed.groupBy(*keys, F.session_window(ts, within).alias("_copies")).agg(
+        F.min(F.struct(F.col(ts).alias("_at"), *rest)).alias("_first")
+    )
+    at = {c: F.col(c) if c in keys else F.col("_first._at" if c == ts else f"_first.{c}") for c in timed.columns}
+    return first.select(*(column.alias(c) for c, column in at.items()))
+
+
 def without_known(rows: DataFrame, known: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """One row per key that the known table does not hold yet: an insert that ignores conflicts."""
     keys = [key] if isinstance(key, str) else list(key)
