@@ -88,7 +88,7 @@ def signed(documents: DataFrame, width: int = 2, text: str = "text", key: str =
 
 
 def full_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(id, members), the sorted shingle hashes, of those rows (doc_id, set_key, text) whose set has that key."""
+    """(id, members), id the set_key and the sorted shingle hashes, of those rows (doc_id, set_key, text) whose set has that key."""
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,11 +97,11 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
                 sets = shingles(find_words(block, NOT_BLANK, LOWER), width)
                 keep = [i for i, s in enumerate(sets) if _name(s) == expected[block.first + i].as_py()]
                 values = np.concatenate([*(sets[i] for i in keep), np.zeros(0, U64)]).astype(np.int64)
-                ids = batch.column(0).take(pa.array([block.first + i for i in keep], pa.int64()))
+                ids = expected.take(pa.array([block.first + i for i in keep], pa.int64()))
                 members = _lists(values, np.array([len(sets[i]) for i in keep], np.int64))
                 yield pa.RecordBatch.from_arrays([ids, members], ["id", "members"])
 
-    return texts.select("doc_id", "set_key", "text").mapInArrow(rows_of, "id long, members array<long>")
+    return texts.select("doc_id", "set_key", "text").mapInArrow(rows_of, "id binary, members array<long>")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -164,27 +164,35 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 def _between(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the components of what is compared with one head; a and b are components.
 
-    rest: (head, id, component). The classes of a head are dealt into blocks, and every two blocks meet in a task of
-    their own, which holds two blocks of sets and returns one link for two components at most, not their pairs.
+    rest: (head, id, component). Of two classes in different components one is outside the head's largest component. So
+    the classes outside it are dealt into blocks, and so are all classes, and every outer block meets every block of all
+    in a task of its own. That holds two blocks of sets and returns one link for two components at most, not their pairs.
     """
-    rest = rest.distinct()
-    counted = rest.groupBy("head").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")
+    rest = stage(rest.distinct(), "rest")
+    sizes = rest.groupBy("head", "component").agg(F.count("*").alias("own"))
+    largest = sizes.groupBy("head").agg(
+        F.max(F.struct("own", "component")).alias("most"), F.sum("own").alias("every"), F.count("*").alias("components")
     )
-    dealt = rest.join(counted.where("low < high").select("head", "blocks"), "head")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = stage(
-        dealt.select("head", "id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")),
-        "open",
+    outside = F.col("every") - F.col("most.own")
+    open_heads = largest.where("components > 1").select(
+        "head",
+        F.col("most.component").alias("main"),
+        F.ceil(F.col("every") / _BLOCK).cast("int").alias("blocks"),
+        F.ceil(outside / _BLOCK).cast("int").alias("outer"),
     )
+    dealt = rest.join(open_heads, "head").withColumn("hash", F.xxhash64("id"))
+    block, outer = F.pmod("hash", F.col("blocks")).cast("int"), F.pmod("hash", F.col("outer")).cast("int")
+    every = dealt.select("head", "id", "component", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("i"), block.alias("j"), F.lit(False).alias("out"))
+    others = dealt.where("component <> main").select(
+        "head", "id", "component", outer.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("out")
+    )
+    dealt = stage(every.unionByName(others), "open")
 
     def meet(table: pa.Table) -> pa.Table:
-        block, j = table["block"].to_numpy(), table["j"][0].as_py()
-        component = table["component"].to_numpy()
+        out = table["out"].to_numpy()
+        names, component = np.unique(np.array(table["component"].to_pylist(), dtype=object), return_inverse=True)
         own = [np.sort(m.values.to_numpy()) for m in table["members"]]
-        first = np.flatnonzero(block == table["i"][0].as_py())
-        second = np.flatnonzero(block == j)
+        first, second = np.flatnonzero(out), np.flatnonzero(~out)
         pairs = set()
         if len(first) and len(second):
             common = _common([own[k] for k in first], [own[k] for k in second]).astype(np.int64)
@@ -193,9 +201,10 @@ def _between(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             linked = (100 * common >= percent * union) & (component[first][:, None] != component[second][None, :])
             for x, y in zip(*np.nonzero(linked), strict=True):
                 pairs.add(tuple(sorted((int(component[first[x]]), int(component[second[y]])))))
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+        ends = [pa.array([names[p[side]] for p in pairs], pa.binary()) for side in (0, 1)]
+        return pa.table({"a": ends[0], "b": ends[1]})
 
-    return dealt.join(sets, "id").groupBy("head", "i", "j").applyInArrow(meet, "a long, b long")
+    return dealt.join(sets, "id").groupBy("head", "i", "j").applyInArrow(meet, "a binary, b binary")
 
 
 def near_duplicates(
@@ -207,26 +216,24 @@ def near_duplicates(
     or the whole word sequence if it has fewer. Two texts are linked if common * 100 >= percent * union.
 
     A null or blank text has an empty set, is linked with nothing and is kept. A row without key takes no part:
-    component_id is null and it is kept. Repeated rows are one document, and all of them are returned. If texts with
-    different sets share a key, the one with the smallest hash is compared and its component holds for all. An empty
+    component_id is null and it is kept. Repeated rows are one document, and all of them are returned. Texts with
+    different sets that share a key are compared each for itself, and a row has the component of its own text. An empty
     table gives an empty result. Columns besides key and text are not read.
     """
     signs = stage(signed(documents, width, text, key), "signatures")
     named = signs.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    class_of = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("id")), "classes")
-    heads = class_of.groupBy("id").agg(F.min("set_key").alias("set_key"))
-    buckets = (
-        named.select("set_key", F.col("doc_id").alias("id"), "bands")
-        .join(heads, ["set_key", "id"], "left_semi")
-        .select("id", F.explode("bands").alias("bucket"))
-    )
+    # a class is known by its set; its bands are those of any of its rows
+    classes = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
+    class_of = classes.select("set_key", "id")
+    buckets = classes.select(F.col("set_key").alias("id"), F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     met = stage(buckets.join(sizes, "bucket"), "buckets")
 
-    wanted = met.select("id").distinct().join(heads, "id").select(F.col("id").alias("doc_id"), "set_key")
+    wanted = met.select(F.col("id").alias("set_key")).distinct().join(class_of.withColumnRenamed("id", "doc_id"), "set_key")
     texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     # the wanted ids grow with the corpus: they are matched by a shuffle at every size
-    sets = stage(full_sets(texts.join(wanted.hint("merge"), "doc_id").distinct(), width), "sets")
+    sets = full_sets(texts.join(wanted.hint("merge"), "doc_id").distinct(), width)
+    sets = stage(sets.dropDuplicates(["id"]), "sets")
 
     # the head of a bucket is the member with the most company, which is the likeliest to be near the others
     company = met.groupBy("id").agg(F.sum("members").alias("company"))
@@ -240,9 +247,12 @@ def near_duplicates(
     rest = star.join(joined, "id").select("head", "id", "component")
     second = components(joined.select(F.col("component").alias("id")).distinct(), _between(rest, sets, percent))
     final = joined.join(second.select(F.col("id").alias("component"), F.col("component").alias("lowest")), "component").select(
-        "id", F.col("lowest").alias("found")
+        F.col("id").alias("set_key"), "lowest"
     )
-    labelled = class_of.join(final, "id", "left").select("set_key", F.coalesce("found", "id").alias("found"))
+    linked = stage(class_of.join(final, "set_key"), "linked-classes")
+    lowest = linked.groupBy("lowest").agg(F.min("id").alias("found"))
+    labelled = class_of.join(linked.join(lowest, "lowest").select("set_key", "found"), "set_key", "left")
+    labelled = labelled.select("set_key", F.coalesce("found", "id").alias("found"))
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("found", "doc_id"))
     return (
         signs.select("doc_id", "n_shingles", "set_key")
