@@ -17,28 +17,34 @@ from stallbook.plans.staging import stage
 
 # Groups with fewer judged documents use the next coarser sketch.
 MIN_GROUP = 200
-# How many times the distance between the quartiles a value may lie outside them.
-REACH = 3
 
 
 @dataclass(frozen=True)
 class Rule:
-    """value: an integer of the counts; margin: how far beyond the fence is still accepted; applies: for which texts."""
+    """A limit lies `reach` times the distance of two quantiles, in hundredths, beyond the upper one, and below the lower.
+
+    value: an integer of the counts; margin: how far beyond that is still accepted, for the width of a bucket and the
+    scatter of short texts; applies: for which texts.
+    """
 
     name: str
     value: str
     margin: int
     applies: str = "true"
     below: bool = False
+    quantiles: tuple[int, int] = (25, 75)
+    reach: int = 3
 
 
 RULES = (
     # hundredths of a character; means over few words scatter too much to judge
     Rule("word_length", "word_chars * 100 div n_words", 50, "n_words >= 50", below=True),
-    # symbols per thousand words
-    Rule("symbols", "n_symbols * 1000 div n_words", 100, "n_words >= 10"),
-    # lines seen before, per thousand lines
-    Rule("repeated_lines", "n_dup_lines * 1000 div n_lines", 400, "n_lines >= 5"),
+    # symbols per thousand words: most texts have none, and up to a quarter may be junk
+    Rule("symbols", "n_symbols * 1000 div n_words", 20, "n_words >= 10", quantiles=(50, 75)),
+    # lines seen before, per thousand lines, and words of repeated windows, per thousand words: most texts have none, and
+    # good ones may have many, so the limit follows the far end
+    Rule("repeated_lines", "n_dup_lines * 1000 div n_lines", 20, "n_lines >= 5", quantiles=(90, 99), reach=1),
+    Rule("repeated_words", "n_repeat_words * 1000 div n_words", 10, "n_words >= 10", quantiles=(90, 99), reach=1),
 )
 
 BASE_FAILED = "n_words < 10 or 100 * n_repeat_words > 20 * n_words"
@@ -69,8 +75,8 @@ def sketches(features: DataFrame, rules: tuple[Rule, ...], keys: tuple[str, str]
     )
 
 
-def _fences(sketch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, rule, docs, low, high): the quartiles of a sketch, merged over whatever is not in keys."""
+def _fences(sketch: DataFrame, keys: tuple[str, ...], rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(keys, rule, docs, low, high): each rule's two quantiles of a sketch, merged over whatever is not in keys."""
     merged = sketch.groupBy(*keys, "rule", "bucket").agg(F.sum("docs").alias("docs"))
     group = Window.partitionBy(*keys, "rule")
     ranked = merged.select(
@@ -78,18 +84,19 @@ def _fences(sketch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         F.sum("docs").over(group.orderBy("bucket")).alias("up_to"),
         F.sum("docs").over(group).alias("total"),
     )
-    return ranked.groupBy(*keys, "rule").agg(
-        F.max("total").alias("docs"),
-        _floor(F.min(F.when(F.col("up_to") * 4 >= F.col("total"), F.col("bucket")))).alias("low"),
-        _floor(F.min(F.when(F.col("up_to") * 4 >= F.col("total") * 3, F.col("bucket")))).alias("high"),
-    )
+
+    def quantile(side: int) -> Column:
+        share = F.coalesce(*(F.when(F.col("rule") == r.name, F.lit(r.quantiles[side])) for r in rules))
+        return _floor(F.min(F.when(F.col("up_to") * 100 >= F.col("total") * share, F.col("bucket"))))
+
+    return ranked.groupBy(*keys, "rule").agg(F.max("total").alias("docs"), quantile(0).alias("low"), quantile(1).alias("high"))
 
 
 def thresholds(features: DataFrame, rules: tuple[Rule, ...] = RULES, lang: str = "lang", source: str = "source") -> DataFrame:
     """One row per language and source with columns <rule>_from and <rule>_to; null where nothing is known."""
     keys = (lang, source)
     sketch = stage(sketches(features, rules, keys), "sketches")
-    fine, middle, whole = _fences(sketch, keys), _fences(sketch, (lang,)), _fences(sketch, ())
+    fine, middle, whole = _fences(sketch, keys, rules), _fences(sketch, (lang,), rules), _fences(sketch, (), rules)
     groups = features.select(*keys).distinct().select(*keys, F.explode(F.array(*(F.lit(r.name) for r in rules))).alias("rule"))
     g, f, m, w = groups.alias("g"), fine.alias("f"), middle.alias("m"), whole.alias("w")
     same = F.col(f"g.{lang}").eqNullSafe(F.col(f"f.{lang}")) & F.col(f"g.{source}").eqNullSafe(F.col(f"f.{source}"))
@@ -107,7 +114,7 @@ def thresholds(features: DataFrame, rules: tuple[Rule, ...] = RULES, lang: str =
     chosen = met.select(F.col(f"g.{lang}").alias(lang), F.col(f"g.{source}").alias(source), F.col("g.rule").alias("rule"), level("low").alias("low"), level("high").alias("high"))
     limits = []
     for r in rules:
-        own, spread = F.col("rule") == r.name, (F.col("high") - F.col("low")) * REACH + r.margin
+        own, spread = F.col("rule") == r.name, (F.col("high") - F.col("low")) * r.reach + r.margin
         below = F.col("low") - spread if r.below else F.lit(None).cast("long")
         limits.append(F.max(F.when(own, below)).alias(f"{r.name}_from"))
         limits.append(F.max(F.when(own, F.col("high") + spread)).alias(f"{r.name}_to"))

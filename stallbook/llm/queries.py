@@ -184,11 +184,27 @@ def _floor(bucket: str) -> str:
     return f"(({bucket} - {shift} * 64) << {shift})"
 
 
+# fixed values: the rules of the operator, written out anew: name, value, quantiles in hundredths, how many times their
+# distance, margin, texts, whether there is a lower limit
+_JUDGED = [
+    ("word_length", "word_chars * 100 // n_words", 25, 75, 3, 50, "n_words >= 50", True),
+    ("symbols", "n_symbols * 1000 // n_words", 50, 75, 3, 20, "n_words >= 10", False),
+    ("repeated_lines", "n_dup_lines * 1000 // n_lines", 90, 99, 1, 20, "n_lines >= 5", False),
+    ("repeated_words", "n_repeat_words * 1000 // n_words", 90, 99, 1, 10, "n_words >= 10", False),
+]
+
+
+def _share(side: str) -> str:
+    shares = " ".join(f"WHEN '{r}' THEN {low if side == 'low' else high}" for r, _, low, high, *_ in _JUDGED)
+    return f"CASE rule {shares} END"
+
+
 def _fences(name: str, keys: str) -> str:
     by = f"{keys}, " if keys else ""
     return f"""{name} AS (
-  SELECT {by}rule, max(total) AS docs, {_floor("min(b) FILTER (WHERE up_to * 4 >= total)")} AS low,
-    {_floor("min(b) FILTER (WHERE up_to * 4 >= total * 3)")} AS high
+  SELECT {by}rule, max(total) AS docs,
+    {_floor(f"min(b) FILTER (WHERE up_to * 100 >= total * {_share('low')})")} AS low,
+    {_floor(f"min(b) FILTER (WHERE up_to * 100 >= total * {_share('high')})")} AS high
   FROM (
     SELECT {by}rule, b, sum(n) OVER (PARTITION BY {by}rule ORDER BY b) AS up_to, sum(n) OVER (PARTITION BY {by}rule) AS total
     FROM (SELECT {by}rule, b, sum(n)::BIGINT AS n FROM sketch GROUP BY {by}rule, b)
@@ -196,15 +212,9 @@ def _fences(name: str, keys: str) -> str:
 )"""
 
 
-# fixed values: the rules of the operator, written out anew
-_JUDGED = [
-    ("word_length", "word_chars * 100 // n_words", 50, "n_words >= 50", True),
-    ("symbols", "n_symbols * 1000 // n_words", 100, "n_words >= 10", False),
-    ("repeated_lines", "n_dup_lines * 1000 // n_lines", 400, "n_lines >= 5", False),
-]
 _VALUES = " UNION ALL ".join(
-    f"SELECT id, lang, source, base_failed, '{r}' AS rule, {v} AS v, {m} AS margin, {b} AS below FROM based WHERE {w}"
-    for r, v, m, w, b in _JUDGED
+    f"SELECT id, lang, source, base_failed, '{r}' AS rule, {v} AS v, {n} AS reach, {m} AS margin, {b} AS below FROM based WHERE {w}"
+    for r, v, _, _, n, m, w, b in _JUDGED
 )
 
 QUALITY_SQL = f"""
@@ -242,7 +252,7 @@ limits AS (
 ), broken AS (
   SELECT DISTINCT v.id FROM vals v JOIN limits k
     ON v.rule = k.rule AND v.lang IS NOT DISTINCT FROM k.lang AND v.source IS NOT DISTINCT FROM k.source
-  WHERE v.v > high + (high - low) * 3 + margin OR (below AND v.v < low - (high - low) * 3 - margin)
+  WHERE v.v > high + (high - low) * reach + margin OR (below AND v.v < low - (high - low) * reach - margin)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND id NOT IN (SELECT id FROM broken) AS kept

@@ -42,6 +42,27 @@ def test_merged_sketches_equal_the_sketch_of_all(documents):
     assert collected(merged, "rule") == collected(whole, "rule")
 
 
+def test_limits_on_rare_values_follow_the_corpus(documents):
+    """Texts of one source repeat lines now and then, those of the other never: the same text passes in one only."""
+    rng = random.Random(9)
+
+    def text(repeats):
+        own = [prose(rng, 20) for _ in range(40)]
+        return "\n".join(own + own[:repeats])
+
+    rows = [(i, text(rng.choice([0, 0, 0, 1, 2, 3])), "en", "a") for i in range(300)]
+    rows += [(1000 + i, text(0), "en", "b") for i in range(300)]
+    one = text(3)
+    rows += [(2000, one, "en", "a"), (2001, one, "en", "b")]
+    frame = documents(rows)
+    found = {r["doc_id"]: r["kept"] for r in collected(quality.assessed(frame))}
+    assert found[2000] and not found[2001]
+    limits = {r["source"]: r for r in quality.thresholds(quality.counted(frame, ("doc_id", "lang", "source"))).collect()}
+    assert limits["a"]["repeated_lines_to"] > 60 > limits["b"]["repeated_lines_to"]
+    assert limits["a"]["repeated_words_to"] > limits["b"]["repeated_words_to"]
+    assert sum(not found[i] for i in range(300)) <= 3
+
+
 def test_awkward_rows(documents):
     found = collected(quality.assessed(documents(awkward())), "doc_id")
     assert len(found) == 10
