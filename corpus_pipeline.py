@@ -22,24 +22,37 @@ _PART_ROWS = 4096
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the limits of their language and source."""
+    """Documents that pass the base rules and the limits of their language and source.
+
+    A null or empty text fails; null languages and sources are groups of their own; repeated rows are judged alike. Other
+    columns may have any names. An empty table gives an empty result.
+    """
     return quality.passed(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the lines that are boilerplate of their source; a document of nothing else goes."""
+    """Without the lines that are boilerplate of their source; a document of nothing else goes.
+
+    A null or empty text and a text without source stay as they are. Other columns may have any names but __dropped. An
+    empty table gives an empty result.
+    """
     rest = boilerplate.without_boilerplate(docs, "source", "text", dropped="__dropped", sources=True)
     emptied = (F.col("__dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return rest.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest doc_id. Repeated rows are one."""
+    """One document of each group of near-duplicates: that with the smallest doc_id. Repeated rows are one.
+
+    A row without id, and one whose text has no words, is nobody's duplicate and stays. Different texts of one id are
+    judged each for itself; the id goes if one of them goes. Other columns may have any names. An empty table gives an
+    empty result.
+    """
     found = minmax.near_duplicates(docs, width=_SHINGLE, percent=_PERCENT)
-    kinds = found.groupBy("doc_id").agg(F.bool_and("kept").alias("stays"), F.count("*").alias("rows"))
-    odd = stage(kinds.where("doc_id is not null and (not stays or rows > 1)"), "near-duplicates")
+    kinds = found.groupBy("doc_id").agg(F.bool_and("kept").alias("__stays"), F.count("*").alias("__rows"))
+    odd = stage(kinds.where("doc_id is not null and (not __stays or __rows > 1)"), "near-duplicates")
     single = docs.join(odd, "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.join(odd.where("stays"), "doc_id", "left_semi").select(*docs.columns).distinct()
+    repeated = docs.join(odd.where("__stays"), "doc_id", "left_semi").select(*docs.columns).distinct()
     return single.union(repeated)
 
 
@@ -47,46 +60,52 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice.
 
     Rows that agree in id, source and size take their copies together. Where these are no multiple of the rows, the rows
-    with the smallest hashes of their texts take one copy more than the others.
+    with the smallest hashes of their texts take one copy more than the others. A null text has size 0 and is not taken;
+    null ids and sources agree with each other. Other columns may have any names. An empty table gives an empty result.
     """
-    keys = ["doc_id", "source", "size"]
-    taken = mixing.mixed(docs).select(*keys, "copies")
-    taken = stage(taken.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix")
-    even = F.col("copies") % F.col("rows") == 0
-    sized = docs.withColumn("__size", mixing.words_in("text"))
+    own = ["__id", "__source", "__size"]
+    taken = mixing.mixed(docs).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__taken"))
+    taken = stage(taken.groupBy(*own).agg(F.sum("__taken").alias("__copies"), F.count("*").alias("__rows")), "mix")
+    even = F.col("__copies") % F.col("__rows") == 0
+    each_row = F.floor(F.col("__copies") / F.col("__rows"))
+    sized = docs.withColumns({"__id": F.col("doc_id"), "__source": F.col("source"), "__size": mixing.words_in("text")})
 
     def met(left: DataFrame, right: DataFrame, *more: str) -> DataFrame:
-        r = right.withColumnsRenamed({c: f"_{c}" for c in keys})
-        agree = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("__size") == F.col("_size"))
-        return left.join(r, [agree, *(F.col(m).eqNullSafe(F.col(f"_{m}")) for m in more)])
+        """Inner join on id, source, size and more, where nulls agree."""
+        keys = [*own, *more]
+        r = right.withColumnsRenamed({c: f"{c}_of" for c in keys})
+        joined = left.join(r, [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in keys])
+        return joined.drop(*(f"{c}_of" for c in keys))
 
     def repeated(rows: DataFrame, times: Column) -> DataFrame:
         each = F.when(times > 0, F.sequence(F.lit(1), times.cast("int"))).otherwise(F.array().cast("array<int>"))
         return rows.withColumn("__time", F.explode(each)).select(*docs.columns)
 
     # what is taken grows with the documents: it is matched by a shuffle at every size
-    whole = repeated(met(sized, taken.where(even & (F.col("copies") > 0)).hint("merge")), F.floor(F.col("copies") / F.col("rows")))
+    whole = repeated(met(sized, taken.where(even & (F.col("__copies") > 0)).hint("merge")), each_row)
 
     # many rows of one key are dealt over parts by the hashes of their texts; each part takes its share of what is left over
-    odd = taken.where(~even).withColumn("parts", F.ceil(F.col("rows") / _PART_ROWS).cast("long"))
+    odd = taken.where(~even).withColumn("__parts", F.ceil(F.col("__rows") / _PART_ROWS).cast("long"))
     hashed = sized.withColumn("__hash", F.xxhash64("text"))
-    width = F.floor(F.lit(2.0**64) / F.col("parts"))
-    part = F.least(F.floor((F.col("__hash") + F.lit(2.0**63)) / width), F.col("parts") - 1).alias("__part")
-    dealt = met(hashed.select("doc_id", "source", "__size", "__hash"), odd)
-    counts = dealt.groupBy("doc_id", "source", F.col("__size").alias("size"), part, "copies", "rows", "parts").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("more", F.col("copies") % F.col("rows") - F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    shares = stage(counts.select(*keys, F.col("__part").alias("___part"), "copies", "rows", "more"), "mix-shares")
-    parts = stage(odd.select(*keys, "parts"), "mix-parts")
-    placed = met(hashed, parts).select(*docs.columns, "__size", "__hash", part)
-    ordered = Window.partitionBy("doc_id", "source", "__size", "__part").orderBy("__hash")
-    own = met(placed, shares, "__part").withColumn("__place", F.row_number().over(ordered))
-    again = (F.col("__place") <= F.col("more")).cast("int")
-    return whole.union(repeated(own, F.floor(F.col("copies") / F.col("rows")) + again))
+    width = F.floor(F.lit(2.0**64) / F.col("__parts"))
+    part = F.least(F.floor((F.col("__hash") + F.lit(2.0**63)) / width), F.col("__parts") - 1)
+    dealt = met(hashed.select(*own, "__hash"), odd).withColumn("__part", part)
+    counts = dealt.groupBy(*own, "__part", "__copies", "__rows").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*own).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    left_over = F.col("__copies") % F.col("__rows") - F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    shares = stage(counts.withColumn("__more", left_over).select(*own, "__part", "__copies", "__rows", "__more"), "mix-shares")
+    parts = stage(odd.select(*own, "__parts"), "mix-parts")
+    placed = met(hashed, parts).withColumn("__part", part)
+    ordered = Window.partitionBy(*own, "__part").orderBy("__hash")
+    rows = met(placed, shares, "__part").withColumn("__place", F.row_number().over(ordered))
+    return whole.union(repeated(rows, each_row + (F.col("__place") <= F.col("__more")).cast("int")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 tokens."""
+    """Pieces of the documents in sequences of at most 4096 tokens.
+
+    A null or empty text has its end alone. Other columns are not read. An empty table gives an empty result.
+    """
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
