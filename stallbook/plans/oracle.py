@@ -641,6 +641,32 @@ w AS (SELECT *, sum(orders) OVER five AS s, count(*) OVER five AS c FROM m
       WINDOW five AS (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
 SELECT {stamp('minute')} AS minute, {big('orders')} AS orders,
        CASE WHEN c = 5 THEN CAST(s AS DOUBLE) / 5.0 END AS moving_avg FROM w"""
+    sql["timed_minute_trend"] = sql["minute_trend_last_hour"]
+    for name in ("recent_events", "recent_orders", "live_kpis"):
+        sql[f"timed_{name}"] = sql[name]
+    sql["mixed_clicks"] = f"""
+WITH e AS (SELECT *, CAST(props ->> '$.k' AS INTEGER) AS k FROM events WHERE event_id % 97 <> 0),
+d AS (SELECT CASE event_id % 3
+        WHEN 0 THEN json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type)
+        WHEN 1 THEN json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type, 'metadata',
+                                json_object('url', '/page/' || k, 'session_duration_sec', CAST(k AS VARCHAR)))
+        ELSE json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type, 'metadata',
+                         json_object('page', json_object('url', '/page/' || k), 'session', json_object('duration_sec', k)))
+      END AS j FROM e)
+SELECT {big("j ->> '$.event_id'")} AS event_id, {big("j ->> '$.user_id'")} AS user_id, j ->> '$.event_type' AS event_type,
+       coalesce(j ->> '$.metadata.url', j ->> '$.metadata.page.url') AS url,
+       {big("coalesce(j ->> '$.metadata.session_duration_sec', j ->> '$.metadata.session.duration_sec')")} AS duration_sec
+FROM d"""
+    head, whole = "OBJECT<event_id: BIGINT, event_type: STRING, ", "user_id: BIGINT>"
+    flat = "session_duration_sec: STRING, url: STRING"
+    nested = "page: OBJECT<url: STRING>, session: OBJECT<duration_sec: BIGINT>"
+    both = "page: OBJECT<url: STRING>, session: OBJECT<duration_sec: BIGINT>, session_duration_sec: STRING, url: STRING"
+    sql["mixed_shapes"] = f"""
+SELECT CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 3 = 0 THEN '{head}{whole}'
+            WHEN event_id % 3 = 1 THEN '{head}metadata: OBJECT<{flat}>, {whole}'
+            ELSE '{head}metadata: OBJECT<{nested}>, {whole}' END AS shape, {big('count(*)')} AS documents
+FROM events GROUP BY 1
+UNION ALL SELECT 'all: {head}metadata: OBJECT<{both}>, {whole}', NULL"""
     sql["table_rows"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {big('count(*)')} AS row_count FROM {t}"
         for t in ("orders", "lineitem", "customer", "part", "supplier", "events")

@@ -23,7 +23,17 @@ from ..operators.sales import (
     order_rollup,
 )
 from ..session import prepare
-from ..sources import StarRetail, read_documents, recent_documents, write_table
+from ..sources import (
+    StarRetail,
+    TimedTable,
+    common_schema,
+    lift,
+    read_documents,
+    read_variants,
+    recent_documents,
+    shapes,
+    write_table,
+)
 from ..sources.star import STAGES, STAR_SCHEMAS
 from ..streaming import (
     CommitLog,
@@ -665,6 +675,45 @@ def documents_round_trip(star):
     return read_documents(star.spark, folder, "event_id bigint, user_id bigint, event_type string, value double")
 
 
+# Where the shapes of click documents keep their members.
+CLICK_FIELDS = {
+    "event_id": ("$.event_id", "bigint"),
+    "user_id": ("$.user_id", "bigint"),
+    "event_type": ("$.event_type", "string"),
+    "url": (("$.metadata.url", "$.metadata.page.url"), "string"),
+    "duration_sec": (("$.metadata.session_duration_sec", "$.metadata.session.duration_sec"), "int"),
+}
+
+
+def mixed_documents(star: StarRetail) -> DataFrame:
+    """Clicks as JSON lines of three shapes, without metadata, with flat and with nested ones; some lines are cut short."""
+    head = ("event_id", "user_id", "event_type")
+    url, seconds = F.col("metadata.url"), F.col("metadata.session_duration_sec")
+    nested = F.struct(F.struct(url.alias("url")).alias("page"), F.struct(seconds.cast("int").alias("duration_sec")).alias("session"))
+    line = (
+        F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(*head)))
+        .when(F.col("event_id") % 3 == 1, F.to_json(F.struct(*head, "metadata")))
+        .otherwise(F.to_json(F.struct(*head, nested.alias("metadata"))))
+    )
+    line = F.when(F.col("event_id") % 97 == 0, line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
+    folder = new_folder(star.spark, "mixed")
+    star.clicks.select(line.alias("value")).write.text(folder)
+    return read_variants(star.spark, folder)
+
+
+@query
+def mixed_clicks(star):
+    return lift(mixed_documents(star).filter("document IS NOT NULL"), CLICK_FIELDS)
+
+
+@query
+def mixed_shapes(star):
+    """The shapes that occur, and the one that fits all of them."""
+    found = mixed_documents(star)
+    every = common_schema(found).select(F.concat(F.lit("all: "), "shape").alias("shape"))
+    return shapes(found).unionByName(every.withColumn("documents", F.lit(None).cast("bigint")))
+
+
 @query
 def minute_trend_last_hour(star):
     return monitor.minute_trend(star.clicks, "timestamp", within="1 hour")
@@ -732,6 +781,52 @@ def order_line_sample(star):
     return monitor.order_line_sample(star.orders, star.items)
 
 
+# --- live figures from tables laid out by time -------------------------------------------
+
+
+def timed(star: StarRetail, rows: DataFrame, when: str, period: str, label: str) -> TimedTable:
+    """The rows in two appends, the newer half first."""
+    table = TimedTable(star.spark, new_folder(star.spark, label), rows.schema, when, period)
+    ends = rows.agg(F.min(when).alias("low"), F.max(when).alias("high"))
+    middle = ends.select((F.col("low") + (F.col("high") - F.col("low")) / 2).cast("string")).first()[0]
+    newer = F.coalesce(F.col(when) >= F.lit(middle).cast(rows.schema[when].dataType), F.lit(False))
+    for half in (newer, ~newer):
+        table.append(rows.filter(half))
+    return table
+
+
+def timed_clicks(star: StarRetail) -> TimedTable:
+    plain = star.clicks.select("event_id", "user_id", "event_type", "timestamp", "value")
+    return timed(star, plain, "timestamp", "hour", "clicks")
+
+
+@query
+def timed_recent_events(star):
+    return timed_clicks(star).recent("1 day", inclusive=True).select(
+        "event_id", "user_id", "event_type", "timestamp"
+    ).orderBy(F.desc("event_id")).limit(100)
+
+
+@query
+def timed_recent_orders(star):
+    """The ten newest orders from the newest days, then their customers."""
+    orders = timed(star, star.orders, "order_date", "day", "orders")
+    return monitor.recent_orders(orders.latest(10, "order_id"), star.users)
+
+
+@query
+def timed_minute_trend(star):
+    """Minutes of the last hour; the whole table is not read for its newest time."""
+    return monitor.minute_trend(timed_clicks(star).recent("1 hour"), "timestamp")
+
+
+@query
+def timed_live_kpis(star):
+    """One pass over the table, whose end comes from its newest hour."""
+    table = timed_clicks(star)
+    return monitor.live_kpis(table.rows(), "timestamp", "user_id", "value", as_of=table.as_of())
+
+
 # --- live monitors: once as a batch, once as a stream over the same files ------------
 
 

@@ -1,0 +1,111 @@
+import datetime as dt
+
+import pytest
+
+from conftest import at, rows
+from stallbook.operators import monitor
+from stallbook.plans.staging import new_folder
+from stallbook.sources import TimedTable
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+SCHEMA = "id bigint, seen timestamp, value double"
+
+
+def table_of(spark, period="hour"):
+    return TimedTable(spark, new_folder(spark, "timed"), StructType.fromDDL(SCHEMA), "seen", period)
+
+
+def frame(spark, values):
+    return spark.createDataFrame(values, SCHEMA)
+
+
+@pytest.fixture
+def filled(spark):
+    """Ninety hours of three rows, appended out of order, with undated rows."""
+    table = table_of(spark)
+    made = [(n, at("2024-03-01") + dt.timedelta(minutes=20 * n), float(n)) for n in range(270)]
+    table.append(frame(spark, made[200:] + [(900, None, None), (901, None, 1.0)]))
+    table.append(frame(spark, made[:200]))
+    return table, made
+
+
+def test_recent_rows_are_read_from_the_periods_of_the_interval(filled):
+    table, made = filled
+    last = made[-1][1]
+    for within, hours in (("40 minutes", 1), ("3 hours", 3), ("1 day", 24)):
+        found = table.recent(within)
+        number, unit = within.split()
+        span = dt.timedelta(**{unit if unit.endswith("s") else f"{unit}s": int(number)})
+        assert {r["id"] for r in found.collect()} == {n for n, when, _ in made if when > last - span}
+        folders = {path.split("period=")[1].split("/")[0] for path in found.inputFiles()}
+        assert len(folders) <= hours + 1 and min(folders) >= (last - span).strftime("%Y-%m-%d-%H")
+    assert len(table.periods()) == 90
+
+
+def test_the_bounds_reach_the_scan(filled):
+    table, _ = filled
+    plan = table.recent("3 hours", inclusive=True)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(seen), GreaterThanOrEqual(seen," in plan
+
+
+def test_the_first_instant_counts_only_if_asked(filled):
+    table, made = filled
+    assert table.recent("1 hour").count() == 3 and table.recent("1 hour", inclusive=True).count() == 4
+
+
+def test_latest_rows_stop_when_enough_are_found(filled):
+    table, made = filled
+    found = table.latest(5, "id")
+    assert [r["id"] for r in found.collect()] == [269, 268, 267, 266, 265]
+    assert len({path.split("period=")[1].split("/")[0] for path in found.inputFiles()}) <= 2
+    assert table.latest(100).count() == 100
+    every = [r["id"] for r in table.latest(10_000, "id").collect()]
+    assert every == [*range(269, -1, -1), 901, 900]
+
+
+def test_all_rows_come_back_and_figures_agree(filled, spark):
+    table, made = filled
+    assert table.rows().count() == 272 and table.rows().filter("seen IS NULL").count() == 2
+    plain = frame(spark, [*made, (900, None, None), (901, None, 1.0)])
+    kpis = lambda orders, now: rows(monitor.live_kpis(orders, "seen", "id", "value", as_of=now))
+    assert kpis(table.rows(), table.as_of()) == kpis(plain, None)
+
+
+def test_ties_and_repeated_rows_stay(spark):
+    table = table_of(spark, "day")
+    table.append(frame(spark, [(n % 7, at("2024-01-05 10:00:00"), 1.0) for n in range(500)]))
+    table.append(frame(spark, [(8, at("2024-01-04"), 1.0)]))
+    assert table.recent("1 hour").count() == 500
+    assert [r["id"] for r in table.latest(3, "id").collect()] == [6, 6, 6]
+    assert table.latest(501).count() == 501
+
+
+def test_tables_without_rows(spark):
+    table = table_of(spark)
+    for _ in range(2):
+        assert table.periods() == [] and table.newest() is None
+        assert table.rows().count() == table.recent("1 hour").count() == table.latest(3).count() == 0
+        assert rows(monitor.live_kpis(table.rows(), "seen", "id", "value", as_of=table.as_of()))[0]["total_orders"] == 0
+        table.append(frame(spark, []))
+    table.append(frame(spark, [(1, None, 1.0)]))
+    assert table.newest() is None and table.recent("1 hour").count() == 0
+    assert table.rows().count() == table.latest(3).count() == 1
+
+
+def test_a_newest_period_without_rows_is_passed_over(spark):
+    table = table_of(spark)
+    table.append(frame(spark, [(1, at("2024-01-01 05:10:00"), 1.0)]))
+    frame(spark, []).select("id", "seen", "value").write.parquet(f"{table.folder}/period=2024-01-01-09")
+    assert table.newest() == "2024-01-01 05:10:00"
+    assert [r["id"] for r in table.latest(1).collect()] == [1]
+
+
+def test_other_columns_may_be_maps_or_carry_the_folder_s_name(spark):
+    shaped = spark.range(5).select("id", F.lit(at("2024-01-01")).alias("seen"), F.create_map(F.lit("a"), "id").alias("m"))
+    table = TimedTable(spark, new_folder(spark, "timed"), shaped.schema, "seen")
+    table.append(shaped)
+    assert rows(table.latest(2, "id"))[0]["m"] == {"a": 4}
+    named = shaped.withColumnRenamed("id", "period")
+    with pytest.raises(ValueError, match="period"):
+        TimedTable(spark, table.folder, named.schema, "seen")
