@@ -130,25 +130,25 @@ def latency_class(milliseconds: Column | str) -> Column:
     return band(milliseconds, LATENCY_BANDS, LATENCY_ABOVE, inclusive=False)
 
 
-def throughput_scorecard(
-    events: DataFrame, when: str, target: float, step: str = "30 seconds", step_seconds: int = 30
-) -> DataFrame:
-    """Events, true rate and PASS or FAIL against a target rate, per time step."""
-    steps = events.groupBy(F.window(when, step).alias("w")).agg(F.count(F.lit(1)).alias("events"))
-    rated = steps.select(
-        F.col("w.start").alias("step_start"),
-        "events",
-        F.lit(float(target)).alias("target_rate"),
-        ratio("events", F.lit(step_seconds)).alias("actual_rate"),
-    )
+def rated(steps: DataFrame, target: float, seconds: Column) -> DataFrame:
+    """The steps with their rate of ``events`` a second, its share of the target, and PASS or FAIL."""
+    rates = steps.select("*", F.lit(float(target)).alias("target_rate"), ratio("events", seconds).alias("actual_rate"))
     achieved = ratio("actual_rate", "target_rate")
-    return rated.select(
+    return rates.select(
         "*",
         half_up(achieved * F.lit(100.0), 1).alias("success_pct"),
         F.when(achieved > F.lit(PASS_MARK), "PASS").otherwise("FAIL").alias("status"),
     )
 
 
+def throughput_scorecard(
+    events: DataFrame, when: str, target: float, step: str = "30 seconds", step_seconds: int = 30
+) -> DataFrame:
+    """Events, true rate and PASS or FAIL against a target rate, per time step."""
+    steps = events.groupBy(F.window(when, step).alias("w")).agg(F.count(F.lit(1)).alias("events"))
+    return rated(steps.select(F.col("w.start").alias("step_start"), "events"), target, F.lit(step_seconds))
+
+
 def event_types(events: DataFrame) -> DataFrame:
     """Events per type; a missing type counts as unknown."""
     named = events.select(F.coalesce("event_type", F.lit("unknown")).alias("event_type"))

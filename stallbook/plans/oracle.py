@@ -629,6 +629,20 @@ FROM win GROUP BY w0 {closed(3600, 3600)}"""
     last = "ts + CASE WHEN event_id % 3 = 0 THEN INTERVAL 5 MINUTE ELSE INTERVAL 0 MINUTE END"
     sql["earliest_of_copies"] = first
     sql["stream_earliest"] = f"{first} WHERE {last} + INTERVAL 1 HOUR <= (SELECT max({last}) FROM events) - INTERVAL 1 DAY"
+    sql["late_users"] = f"""
+WITH u AS (SELECT user_id, min(ts) + to_hours(CAST((user_id * 7) % 60 - 20 AS INTEGER)) AS recorded,
+                  'user ' || CAST(user_id AS VARCHAR) AS label FROM events GROUP BY user_id)
+SELECT event_id, e.user_id, {stamp('ts')} AS ts, label, {stamp('recorded')} AS recorded FROM events e
+LEFT JOIN u ON u.user_id = e.user_id AND recorded BETWEEN ts - INTERVAL 1 DAY AND ts + INTERVAL 1 DAY"""
+    sql["stream_late_users"] = sql["late_users"]
+    rate = div("count(*)", "((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0)")
+    sql["stream_throughput"] = f"""
+WITH ends AS (SELECT min(epoch_us(ts)) AS low, (max(epoch_us(ts)) - min(epoch_us(ts))) // 3 + 1 AS step FROM events)
+SELECT {big('(epoch_us(ts) - low) // step')} AS batch, {big('count(*)')} AS events, {stamp('min(ts)')} AS first,
+       {stamp('max(ts)')} AS last, CAST({TARGET_RATE} AS DOUBLE) AS target_rate, {rate} AS actual_rate,
+       {rnd(div(rate, str(TARGET_RATE)) + ' * 100.0', 1)} AS success_pct,
+       CASE WHEN {div(rate, str(TARGET_RATE))} > 0.8 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM events, ends GROUP BY 1"""
     sql["stream_appended"] = sql["deduplicated_events"]
     sql["stream_enriched"] = f"""{heading(EVENTS, USERS)}
 SELECT event_id, ev.user_id, '/page/' || CAST(k AS VARCHAR) AS url, k AS duration_sec, name, city

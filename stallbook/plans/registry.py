@@ -36,11 +36,13 @@ from ..sources import (
 )
 from ..sources.star import STAGES, STAR_SCHEMAS
 from ..streaming import (
+    BatchMeter,
     CommitLog,
     append_new,
     daily_funnel,
     dedup_events,
     earliest_events,
+    enrich_late,
     enrich_stream,
     event_mix,
     hourly_amount,
@@ -225,7 +227,7 @@ def arriving(star: StarRetail, rows: DataFrame, parts: Sequence[Column]) -> Data
         own.repartition(files).write.parquet(path)
         for _ in range(files - len(spark.read.schema(own.schema).parquet(path).inputFiles())):
             own.limit(0).coalesce(1).write.mode("append").parquet(path)
-    reader = spark.readStream.schema(STAR_SCHEMAS["events"]).option("maxFilesPerTrigger", files)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(f"{folder}/part=*")
 
 
@@ -938,7 +940,7 @@ def stream_earliest(star):
     own = F.floor((F.expr(MICROS) - F.when(F.col("copy"), 300_000_000).otherwise(0) - low) / step)
     late = ~F.col("copy") & (F.col("event_id") % 2 == 0) & (F.expr(MICROS) >= low + (own + 1) * step - half_day)
     part = F.least(own + late.cast("int"), F.lit(parts - 1))
-    stream = arriving(star, copied_events(star), [part == n for n in range(parts)])
+    stream = arriving(star, copied_events(star), [part == n for n in range(parts)]).drop("copy")
     first = earliest_events(stream, "event_id", "ts", "1 hour", "1 day").select("event_id", "user_id", "event_type", "ts", "value")
     return run_to_table(first, "earliest")
 
@@ -985,6 +987,58 @@ def stream_enriched(star):
     )
 
 
+def registered(star: StarRetail) -> DataFrame:
+    """Users with the time of their record: some hours before or after their first event, for some of them days."""
+    first = star.raw("events").groupBy("user_id").agg(F.min("ts").alias("first_seen"))
+    hours = F.pmod(F.col("user_id") * 7, F.lit(60)) - 20
+    at = F.col("first_seen") + F.make_dt_interval(hours=hours)
+    return first.select("user_id", at.alias("recorded"), F.concat(F.lit("user "), "user_id").alias("label"))
+
+
+LAST = "TIMESTAMP_NTZ '2100-01-01 00:00:00'"
+
+
+@query
+def stream_late_users(star):
+    """Clicks and users as two streams, by time in three parts; a last row far ahead closes each of them."""
+    low, high, step = time_ranges(star, 3)
+
+    def parts(when: str) -> list[Column]:
+        at = F.unix_micros(F.col(when).cast("timestamp"))
+        return [at < low + step, (at >= low + step) & (at < low + 2 * step), at >= low + 2 * step]
+
+    clicks = star.raw("events").select("event_id", "user_id", "ts")
+    end = star.spark.range(1)
+    clicks = clicks.unionByName(end.selectExpr("-1L AS event_id", "-1L AS user_id", f"{LAST} AS ts"))
+    users = registered(star).unionByName(end.selectExpr("-2L AS user_id", f"{LAST} AS recorded", "'' AS label"))
+    joined_up = enrich_late(
+        arriving(star, clicks, parts("ts")), arriving(star, users, parts("recorded")), "user_id", "ts", "recorded"
+    )
+    found = run_to_table(joined_up.select("event_id", "user_id", "ts", "label", "recorded"), "late-users")
+    return found.filter("event_id >= 0")  # on the stream this would be pushed below the watermark
+
+
+@query
+def late_users(star):
+    clicks = star.raw("events").select("event_id", "user_id", "ts")
+    return enrich_late(clicks, registered(star), "user_id", "ts", "recorded").select(
+        "event_id", "user_id", "ts", "label", "recorded"
+    )
+
+
+@query
+def stream_throughput(star):
+    """The scorecard of a stream's three micro-batches, from what was observed while they were written."""
+    low, high, step = time_ranges(star, 3)
+    at = F.expr(MICROS) - low
+    stream = arriving(star, star.raw("events"), [at.between(n * step, (n + 1) * step - 1) for n in range(3)])
+    folder = new_folder(star.spark, "metered")
+    meter = BatchMeter(star.spark, f"{folder}/readings", "ts")
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{folder}/table/batch={number}")
+    stream_to_gold(stream, meter.measured(write), f"{folder}/state").awaitTermination()
+    return meter.scorecard(TARGET_RATE)
+
+
 # --- exact distinct counts from stored bitmaps -----------------------------------------
 
 

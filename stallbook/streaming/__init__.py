@@ -5,11 +5,13 @@ from .ingest import (
     append_new,
     dedup_events,
     earliest_events,
+    enrich_late,
     enrich_stream,
     run_to_table,
     stream_to_gold,
     without_known,
 )
+from .meter import BatchMeter
 from .windows import (
     daily_funnel,
     event_mix,
@@ -21,11 +23,13 @@ from .windows import (
 )
 
 __all__ = [
+    "BatchMeter",
     "CommitLog",
     "append_new",
     "daily_funnel",
     "dedup_events",
     "earliest_events",
+    "enrich_late",
     "enrich_stream",
     "event_mix",
     "event_time",

@@ -91,6 +91,36 @@ def enrich_stream(clicks: DataFrame, users: DataFrame, columns: Sequence[str] |
     return enrich_clicks(flatten_clicks(clicks), users, columns)
 
 
+def enrich_late(
+    clicks: DataFrame,
+    users: DataFrame,
+    key: str = "user_id",
+    click_time: str = "timestamp",
+    user_time: str = "signup_date",
+    before: str = "1 day",
+    after: str = "1 day",
+    watermark: str = "1 hour",
+) -> DataFrame:
+    """Clicks with the columns of their user, where users are a stream too and may come after their clicks.
+
+    A user's record counts for the clicks up to ``after`` later and up to ``before`` earlier than it. Both sides wait in
+    state until the watermark has passed these bounds; a click that found no user by then comes out once, without one.
+    So the state is bounded by the intervals, not by the number of users. Several records of a user in reach give a
+    row each. Rows of either side without a time are left out, as they could never be closed. The other columns of
+    ``users`` must not be named as those of ``clicks``. On batches the result is the same, without the wait.
+    """
+    timed = event_time(clicks, click_time).dropna(subset=[click_time])
+    known = event_time(users, user_time).dropna(subset=[user_time]).withColumnRenamed(key, "_key")
+    if clicks.isStreaming:
+        timed = timed.withWatermark(click_time, watermark)
+    if users.isStreaming:
+        known = known.withWatermark(user_time, watermark)
+    reach = F.col(user_time).between(
+        F.col(click_time) - F.expr(f"INTERVAL {after}"), F.col(click_time) + F.expr(f"INTERVAL {before}")
+    )
+    return timed.join(known, (F.col(key) == F.col("_key")) & reach, "left_outer").drop("_key")
+
+
 def stream_to_gold(
     rows: DataFrame,
     write: Callable[[DataFrame, int], None],
