@@ -6,7 +6,7 @@ it moves them along vectors in the null space of the constraints (document count
 both totals stay as they are, until a step lands on a face of the cube and a unit is decided.
 
 The flight runs in blocks of bounded size, made by a hash of the document, so a source of any size is spread over all
-tasks. A block leaves at most two undecided documents; these meet again in blocks, level by level, until a source has
+tasks. Equal rows are numbered first and the number is part of the hash, so that one hot document is spread like a source. A block leaves at most two undecided documents; these meet again in blocks, level by level, until a source has
 one block. Its last documents are landed: of all ways to round them one that leaves the word total nearest to its target.
 """
 
@@ -27,6 +27,8 @@ MOST_COPIES = 2
 BLOCK_ROWS = 4096
 # Documents of a source, of all sizes, that stay out of its flights and are decided by the landing.
 LANDING = 14
+# Rows that are numbered together; a power of two.
+CHUNK_ROWS = 1 << 16
 SEED = 88172645
 _ALMOST = 1e-9
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -116,10 +118,10 @@ def _land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarr
 
 
 def _level(units: DataFrame, label: str, last: bool) -> DataFrame:
-    """One flight in every block (group, block) of the units (group, block, unit, size, p, late)."""
+    """One flight in every block (group, block) of the units (group, block, unit, size, twin, p, late)."""
 
     def fly(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["size", "unit", "p"], kind="stable")
+        block = block.sort_values(["size", "unit", "twin"], kind="stable")
         rng = np.random.default_rng([SEED, int(block["group"].iloc[0]) % 2**63, int(block["block"].iloc[0])])
         p, size, late = block["p"].to_numpy(float).copy(), block["size"].to_numpy(float), np.flatnonzero(block["late"])
         if last and len(late) > LANDING:
@@ -132,21 +134,20 @@ def _level(units: DataFrame, label: str, last: bool) -> DataFrame:
 
 
 def sampled(units: DataFrame) -> DataFrame:
-    """(group, unit, size, p) with p decided, from units (group long, unit long, size long, p double).
+    """(group, unit, size, twin, p) with p decided, from units (group, unit, size and twin long, p double).
 
-    About LANDING units of a group, chosen by a hash, wait for the landing. Units of a group that agree in unit, size
-    and p are exchangeable.
+    About LANDING units of a group, chosen by a hash, wait for the landing. Group, unit, size and twin are a unit's key.
     """
     done, level, last = None, 0, False
     counts = stage(units.groupBy("group").count(), "mix-groups")
-    waits = F.pmod(F.xxhash64("unit", "size", F.lit(SEED)), F.col("count")) < LANDING
-    units = units.join(counts, "group").select("group", "unit", "size", "p", waits.alias("late"))
+    waits = F.pmod(F.xxhash64("unit", "size", "twin", F.lit(SEED)), F.col("count")) < LANDING
+    units = units.join(counts, "group").select("group", "unit", "size", "twin", "p", waits.alias("late"))
     while not last:
         blocks = F.ceil(F.col("count") / BLOCK_ROWS).cast("int")
         largest = counts.agg(F.max(F.col("count")).alias("n")).first()["n"] or 0
         last = largest <= BLOCK_ROWS
-        block = F.pmod(F.xxhash64(F.lit(level), "group", "unit", "size"), F.greatest(blocks, F.lit(1))).cast("long")
-        placed = units.join(counts, "group").select("group", block.alias("block"), "unit", "size", "p", "late")
+        block = F.pmod(F.xxhash64(F.lit(level), "group", "unit", "size", "twin"), F.greatest(blocks, F.lit(1))).cast("long")
+        placed = units.join(counts, "group").select("group", block.alias("block"), "unit", "size", "twin", "p", "late")
         flown = _level(placed, f"mix-level{level}", last)
         decided = flown.where("p = 0 or p = 1").drop("block", "late")
         done = decided if done is None else done.union(decided)
@@ -157,6 +158,22 @@ def sampled(units: DataFrame) -> DataFrame:
     return done
 
 
+def numbered(rows: DataFrame, keys: tuple[str, ...] = ("group", "unit", "size")) -> DataFrame:
+    """The rows with `twin`: equal keys are numbered from 0, whatever their number, without one task for a hot key.
+
+    Rows are written with a number of their chunk (at most CHUNK_ROWS rows of a task), counted by key and chunk, and
+    numbered in their chunk from what the chunks before hold.
+    """
+    chunk = F.shiftright(F.monotonically_increasing_id(), CHUNK_ROWS.bit_length() - 1)
+    written = stage(rows.withColumn("chunk", chunk), "mix-open")
+    counts = written.groupBy(*keys, "chunk").agg(F.count("*").alias("held"))
+    before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, "chunk", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
+    own = Window.partitionBy(*keys, "chunk").orderBy(F.lit(0))
+    placed = written.withColumn("place", F.row_number().over(own)).join(starts, [*keys, "chunk"])
+    return placed.withColumn("twin", F.col("start") + F.col("place") - 1).drop("chunk", "start", "place")
+
+
 def mixed(
     documents: DataFrame,
     key: str = "doc_id",
@@ -191,11 +208,9 @@ def mixed(
         }
     )
     # equal rows are told apart by a number, so that decisions can be handed back
-    twins = Window.partitionBy("group", "unit", "size").orderBy(F.lit(0))
-    open_rows = stage(wanted.where("size > 0 and p > 0").withColumn("twin", F.row_number().over(twins)), "mix-open")
+    open_rows = stage(numbered(wanted.where("size > 0 and p > 0")), "mix-numbered")
     settled = wanted.where("size = 0 or p = 0")
-    drawn = sampled(open_rows.select("group", "unit", "size", "p"))
-    drawn = drawn.select("*", F.row_number().over(twins.orderBy("p")).alias("twin")).withColumnRenamed("p", "extra")
+    drawn = sampled(open_rows.select("group", "unit", "size", "twin", "p")).withColumnRenamed("p", "extra")
     out = open_rows.join(drawn, ["group", "unit", "size", "twin"]).withColumn("copies", F.col("whole") + F.col("extra").cast("long"))
     out = out.drop("twin", "extra").unionByName(settled.withColumn("copies", F.when(F.col("size") > 0, F.col("whole")).otherwise(0)))
     copies = F.col("copies").cast("long")

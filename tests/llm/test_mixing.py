@@ -84,3 +84,39 @@ def test_awkward_rows(documents):
 def test_empty_table(documents):
     assert collected(mixing.mixed(documents([]))) == []
     assert {r["taken"] for r in collected(mixing.mixed(documents([(1, None), (2, "")])))} == {0}
+
+
+def test_a_hot_document_is_spread_over_blocks(spark, documents, monkeypatch):
+    """A third of the rows are one; no block exceeds its bound by more than hashing does, and the totals hold."""
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 64)
+    largest = []
+    level = mixing._level
+
+    def watched(units, label, last):
+        largest.append(units.groupBy("group", "block").count().agg({"count": "max"}).first()[0])
+        return level(units, label, last)
+
+    monkeypatch.setattr(mixing, "_level", watched)
+    rng = random.Random(5)
+    rows = [(7, "w " * 30, "en", "a")] * 1000 + [(100 + i, "w " * rng.choice([3, 40, 200]), "en", "ab"[i % 2]) for i in range(2000)]
+    rng.shuffle(rows)
+    found = collected(mixing.mixed(documents(rows)))
+    assert len(found) == len(rows) and sum(r["doc_id"] == 7 for r in found) == 1000
+    assert max(largest) <= 150
+    for source in "ab":
+        own = [r for r in found if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(20, own[0]["target"] * 0.002)
+    kinds = lambda rows: sorted((r["doc_id"], r["taken"]) for r in rows)
+    assert kinds(found) == kinds(collected(mixing.mixed(documents(rows[::-1], 7))))
+
+
+def test_equal_rows_are_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 8)
+    keys = [(1, 1, 1)] * 100 + [(1, 2, 1)] * 3 + [(2, 1, 1)] * 40
+    random.Random(3).shuffle(keys)
+    frame = spark.createDataFrame(keys, "group long, unit long, size long").repartition(5)
+    twins = {}
+    for r in mixing.numbered(frame).collect():
+        twins.setdefault((r["group"], r["unit"], r["size"]), []).append(r["twin"])
+    assert {k: sorted(v) for k, v in twins.items()} == {(1, 1, 1): [*range(100)], (1, 2, 1): [0, 1, 2], (2, 1, 1): [*range(40)]}
