@@ -126,3 +126,17 @@ def test_positions_count_code_points(documents):
 def test_awkward_rows_and_empty_table(documents):
     assert len(collected(pii.found_in(documents(awkward())))) == 10
     assert collected(pii.found_in(documents([]))) == []
+
+
+def test_the_sample_stays_bounded_under_hot_keys_and_texts(documents, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 400)
+    hot_key = [(5, f"call {i}") for i in range(2000)]
+    hot_row = [(6, "mail a@b.org")] * 2000
+    others = [(i, f"number {i}") for i in range(100, 2100)]
+    drawn = pii.sample(documents([*hot_key, *hot_row, *others, (None, None), (None, "no digit")]), "doc_id", "text").collect()
+    assert 150 < len(drawn) <= 400
+    for key, most in ((5, 180), (6, 1)):
+        assert sum(r["key"] == key for r in drawn) <= most
+    assert all(r["text"] for r in drawn)
+    few = pii.sample(documents([(1, "a 1"), (1, "a 1"), (None, "a 1"), (2, "none")]), "doc_id", "text")
+    assert sorted((r["key"] or 0, r["text"]) for r in few.collect()) == [(0, "a 1"), (1, "a 1")]
