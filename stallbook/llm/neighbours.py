@@ -4,9 +4,10 @@ Vectors are scaled to length one and quantised to int8. The product of two int8
 error that follows from the quantisation errors of the two vectors; only pairs that may still be among the best are
 computed again from the original vectors, in double precision, and merged into the heaps of their queries.
 
-Tiles hold a bounded number of rows. Query tiles meet stretches of candidate tiles, one meeting in one task at a time,
-where the candidates stream by; a query keeps k pairs per stretch. No meeting holds more than one query tile and one
-candidate tile, whatever the tables' sizes.
+Tiles hold a bounded number of rows, and stretches a bounded number of candidate tiles. A task holds one stretch while
+the query tiles stream by; a query keeps k pairs per stretch. So the candidates move once, however many queries there
+are, and the queries once for each stretch. Only a table of fewer stretches than MEETINGS moves its candidates more
+often, dealing the query tiles to that many meetings.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 
 from stallbook.plans.staging import stage
 
-# Rows in a tile, and candidate tiles in a stretch.
-TILE, STRETCH = 2048, 16
+# Rows in a tile, and candidate tiles in a stretch, fewer of them where their vectors exceed the bytes of HELD.
+TILE, STRETCH, HELD = 2048, 16, 64 << 20
+MEETINGS = 64
 _PIECE = 256
 _TILES = "size int, serial long, ids binary, raw binary, count int"
 
@@ -87,10 +89,10 @@ class _Tile:
 
     def __init__(self, ids: bytes, raw: bytes, size: int):
         self.ids = np.frombuffer(ids, "<i8")
-        self.raw = np.frombuffer(raw, "<f8").reshape(-1, size)
-        self.columns = np.ascontiguousarray(self.raw.T)
+        vectors = np.frombuffer(raw, "<f8").reshape(-1, size)
+        self.columns = np.ascontiguousarray(vectors.T)
         self.norm = np.sqrt(_dots(self.columns, self.columns))
-        unit = self.raw / self.norm[:, None]
+        unit = vectors / self.norm[:, None]
         self.step = np.abs(unit).max(axis=1) / 127
         codes = np.rint(unit / self.step[:, None])
         self.error = np.sqrt(((unit - codes * self.step[:, None]) ** 2).sum(axis=1))
@@ -166,39 +168,48 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id"
     once = vectors.where(queries).groupBy(F.col(key).alias(key)).agg(F.min(vector).alias(vector))
     asked = stage(_tiles(once, key, vector, TILE), "query-tiles")
     # tiles of few rows are spread evenly by their serial numbers
-    stretches = F.greatest(F.ceil(F.count("*") / STRETCH), F.lit(1)).cast("int")
-    sizes = candidates.groupBy("size").agg(stretches.alias("stretches"))
-    targets = asked.select("size", F.col("serial").alias("query")).distinct()
-    spread = F.pmod(F.xxhash64("serial"), F.col("stretches")).cast("int")
-    moving = (
-        candidates.join(sizes, "size").withColumn("stretch", spread).join(targets, "size")
-        .select("size", "query", "stretch", F.lit(1).alias("side"), "serial", "ids", "raw")
+    held = F.least(F.lit(STRETCH), F.greatest(F.lit(1), F.floor(F.lit(HELD) / (F.col("size") * (8 * TILE)))))
+    stretches = F.greatest(F.ceil(F.col("tiles") / held), F.lit(1)).cast("int")
+    asking = asked.groupBy("size").agg(F.count("*").alias("asking"))
+    sizes = candidates.groupBy("size").agg(F.count("*").alias("tiles")).join(asking, "size")
+    sizes = sizes.select("size", stretches.alias("stretches"), "asking").select(
+        "*", F.least(F.col("asking"), F.ceil(F.lit(MEETINGS) / F.col("stretches"))).cast("int").alias("deals")
     )
+
+    def dealt(column: str) -> Column:
+        return F.pmod(F.xxhash64("serial"), F.col(column)).cast("int")
+
+    def everywhere(column: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+
+    place = ["size", "stretch", "deal"]
     fixed = (
-        asked.join(sizes, "size").withColumn("stretch", F.explode(F.sequence(F.lit(0), F.col("stretches") - 1)))
-        .select("size", F.col("serial").alias("query"), "stretch", F.lit(0).alias("side"), "serial", "ids", "raw")
+        candidates.join(sizes, "size").withColumn("stretch", dealt("stretches")).withColumn("deal", everywhere("deals"))
+        .select(*place, F.lit(0).alias("side"), "serial", "ids", "raw")
+    )
+    moving = (
+        asked.join(sizes, "size").withColumn("deal", dealt("deals")).withColumn("stretch", everywhere("stretches"))
+        .select(*place, F.lit(1).alias("side"), "serial", "ids", "raw")
     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, heaps = None, None
+        here, stretch = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                here = (row["size"], row["query"], row["stretch"])
-                if here != place:
-                    if heaps is not None:
-                        yield heaps.rows()
-                    place, heaps = here, None
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
+                if (row["size"], row["stretch"], row["deal"]) != here:
+                    here, stretch = (row["size"], row["stretch"], row["deal"]), []
                 tile = _Tile(row["ids"], row["raw"], row["size"])
                 if row["side"] == 0:
-                    heaps = _Heaps(tile, k)
-                elif heaps is not None:
-                    heaps.meet(tile)
-        if heaps is not None:
-            yield heaps.rows()
+                    stretch.append(tile)
+                    continue
+                heaps = _Heaps(tile, k)
+                for candidate in stretch:
+                    heaps.meet(candidate)
+                yield heaps.rows()
 
     met = (
-        fixed.union(moving).repartition("size", "query", "stretch")
-        .sortWithinPartitions("size", "query", "stretch", "side", "serial")
+        fixed.union(moving).repartition(*place).sortWithinPartitions(*place, "side", "serial")
         .mapInArrow(meet, "query_id long, vec_id long, score double")
     )
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

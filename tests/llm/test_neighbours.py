@@ -61,3 +61,39 @@ def test_awkward_vectors_take_no_part(spark):
 
 def test_empty_table(spark):
     assert collected(neighbours.nearest(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 10 == 0)) == []
+
+
+@pytest.mark.parametrize("meetings", [1, 1000])
+def test_stretches_and_meetings_of_any_number_give_the_same(spark, monkeypatch, meetings):
+    """Bounds in bytes, several dimensions, and a third of the rows equal."""
+    for name, value in (("TILE", 8), ("HELD", 8 * 16 * 8 * 2), ("MEETINGS", meetings)):
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(9)
+    vectors = [(i, [1.0] * 16 if i % 3 == 0 else rng.normal(size=16).astype(np.float32).tolist()) for i in range(240)]
+    others = [(1000 + i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(60)]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in vectors + others], SCHEMA).repartition(4)
+    found = {}
+    for r in collected(neighbours.nearest(frame, F.col("vec_id") % 10 == 0)):
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], round(r["score"], 9))
+    assert {q: [x[n] for n in sorted(x)] for q, x in found.items()} == brute(vectors, 10, 5) | brute(others, 10, 5)
+
+
+def test_candidates_move_once_and_queries_once_for_each_stretch(spark, monkeypatch):
+    """Rows before the meeting, at two sizes: tiles of candidates, and tiles of queries times stretches."""
+    for name, value in (("TILE", 4), ("STRETCH", 2), ("MEETINGS", 1)):
+        monkeypatch.setattr(neighbours, name, value)
+    moved = []
+    repartition = type(spark.range(1)).repartition
+
+    def watched(frame, *keys):
+        if "side" in frame.columns:
+            moved.append({r["side"]: r["count"] for r in frame.groupBy("side").count().collect()})
+        return repartition(frame, *keys)
+
+    frames = [spark.range(n).selectExpr("id AS vec_id", "array(float(id + 1), float(1))  AS embedding", "0 AS label").coalesce(1) for n in (160, 320)]
+    monkeypatch.setattr(type(frames[0]), "repartition", watched)
+    for frame in frames:
+        neighbours.nearest(frame, F.col("vec_id") % 20 == 0)
+    assert [counts[0] for counts in moved] == [40, 80]
+    for counts, stretches, queries in zip(moved, (20, 40), (8, 16), strict=True):
+        assert counts[1] % stretches == 0 and counts[1] <= stretches * queries
