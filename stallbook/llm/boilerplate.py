@@ -17,7 +17,7 @@ from stallbook.plans.staging import stage
 
 RATIO, LEAST_PAGES = 0.1, 2
 # Of a source, which is many sites: the ratio of a line of one character, divided by the characters, down to a lowest ratio;
-# the fewest texts; and which part of the texts must differ around the line.
+# the fewest texts that show boilerplate by themselves; and which part of the texts must differ around the line.
 PER_LENGTH, LOWEST, LEAST_TEXTS, APART = 0.3, 0.005, 5, 3
 # A text is known by the smallest of its lines' hashes, under so many hash functions.
 _HASHES = 4
@@ -57,9 +57,12 @@ def frequent_in_sources(texts: DataFrame, source: str, text: str) -> DataFrame:
 
     A source is many sites, so the boilerplate of one site is on a small share of it; but a long line is hardly repeated by
     chance. The ratio falls with the line's length: PER_LENGTH / characters, RATIO at most and LOWEST at least, and a line
-    must be in LEAST_TEXTS distinct texts. Near-copies of a text repeat all its lines without any being boilerplate: of the
-    texts with a line under RATIO, one in APART at least must be different around it. Two texts count as different where
-    the smallest hash of their other lines is; for texts that share most lines it mostly is the same.
+    under RATIO must be in LEAST_TEXTS distinct texts. Near-copies of a text repeat all its lines without any being
+    boilerplate: of the texts with a line under RATIO, one in APART at least must be different around it. Two texts count
+    as different where the smallest hash of their other lines is; for texts that share most lines it mostly is the same.
+
+    A line above RATIO in fewer texts than LEAST_TEXTS, as small sources have it, goes if _apart_in_few finds two texts
+    around it that are no copies.
     """
     bare = F.filter(F.transform(lines_of(F.col(text)), lambda x: F.btrim(x, F.lit(_BLANKS))), lambda x: x != "")
     cap = math.ceil(PER_LENGTH / LOWEST)
@@ -75,11 +78,12 @@ def frequent_in_sources(texts: DataFrame, source: str, text: str) -> DataFrame:
     counts = (
         once.select("host", F.explode("lines").alias("x"))
         .groupBy("host", F.col("x.line").alias("line"), F.col("x.size").alias("size"))
-        .agg(F.count("*").alias("with_line")).where(F.col("with_line") >= LEAST_TEXTS)
+        .agg(F.count("*").alias("with_line")).where(F.col("with_line") >= LEAST_PAGES)
     )
     ratio = F.least(F.greatest(F.lit(PER_LENGTH) / F.col("size"), F.lit(LOWEST)), F.lit(RATIO))
-    often = counts.join(totals, "host").where(F.col("with_line") > F.col("pages") * ratio)
-    often = stage(often.select("host", "line", "with_line", (F.col("with_line") > F.col("pages") * RATIO).alias("sure")), "often")
+    over, few = F.col("with_line") > F.col("pages") * RATIO, F.col("with_line") < LEAST_TEXTS
+    often = counts.join(totals, "host").where((F.col("with_line") > F.col("pages") * ratio) & (over | ~few))
+    often = stage(often.select("host", "line", "with_line", (over & ~few).alias("sure"), few.alias("few")), "often")
 
     def two_smallest(seed: int) -> Column:
         found = F.transform("lines", lambda x: F.struct(F.xxhash64(x["line"], F.lit(seed)).alias("hash"), x["line"].alias("line")))
@@ -88,16 +92,38 @@ def frequent_in_sources(texts: DataFrame, source: str, text: str) -> DataFrame:
     # (line, hash of the rest by each function): the second smallest where the line itself has the smallest
     held = once.select("host", "lines", F.array(*(two_smallest(i) for i in range(_HASHES))).alias("least"))
     held = held.select("host", "least", F.explode("lines.line").alias("line"))
-    met = held.join(often.where("not sure"), ["host", "line"])
+    met = held.join(often.where("not sure and not few"), ["host", "line"])
     rest = F.transform("least", lambda x: F.filter(x, lambda y: y["line"] != F.col("line"))[0]["hash"])
     around = met.select("host", "line", "with_line", F.posexplode(rest).alias("function", "hash")).where("hash is not null")
     kinds = around.groupBy("host", "line", "with_line", "function", "hash").agg(F.lit(1).alias("one"))
     kinds = kinds.groupBy("host", "line", "with_line", "function").agg(F.count("*").alias("kinds"))
     apart = kinds.where((F.col("kinds") >= LEAST_TEXTS) & (F.col("kinds") * APART >= F.col("with_line"))).select("host", "line").distinct()
-    found = often.where("sure").select("host", "line").union(apart)
+    found = often.where("sure").select("host", "line").union(apart).union(_apart_in_few(once, often))
     return found.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
+def _apart_in_few(once: DataFrame, often: DataFrame) -> DataFrame:
+    """(host, line) of the `few` lines that stand in two texts that are no copies of each other.
+
+    Two texts are copies if they share more than half of the lines of the shorter one, the lines of many texts left out.
+    A line of few texts above RATIO has a host of few texts, and at most six pairs of texts.
+    """
+    few = often.where("few").select("host", "line")
+    lines = once.join(few.select("host").distinct(), "host", "left_semi").select("host", "page", F.explode("lines.line").alias("line"))
+    rare = lines.join(often.where("sure").select("host", "line"), ["host", "line"], "left_anti")
+    sizes = rare.groupBy("host", "page").agg(F.count("*").alias("size"))
+    texts = rare.join(few, ["host", "line"]).groupBy("host", "line").agg(F.sort_array(F.collect_list("page")).alias("texts"))
+    later = F.transform(
+        "texts", lambda a, i: F.transform(F.slice("texts", i + 2, LEAST_TEXTS), lambda b: F.struct(a.alias("a"), b.alias("b")))
+    )
+    pairs = texts.select("host", "line", F.explode(F.flatten(later)).alias("pair")).select("host", "line", "pair.a", "pair.b")
+    shared = pairs.groupBy("host", "a", "b").agg(F.count("*").alias("shared"))
+    for side in ("a", "b"):
+        shared = shared.join(sizes.select("host", F.col("page").alias(side), F.col("size").alias(f"of_{side}")), ["host", side])
+    apart = shared.where(2 * F.col("shared") <= F.least("of_a", "of_b")).select("host", "a", "b")
+    return pairs.join(apart, ["host", "a", "b"], "left_semi").select("host", "line").distinct()
+
+
 def without_boilerplate(
     pages: DataFrame,
     host: str,

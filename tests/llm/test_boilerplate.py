@@ -103,3 +103,23 @@ def test_small_and_awkward_sources(documents):
     assert [found[i, "small"] for i in range(6)] == [f"own text {i}" for i in range(6)]
     assert {k: v for k, v in found.items() if k[1] != "small"} == {(r[0], r[3]): r[1] for r in awkward()}
     assert collected(boilerplate.without_boilerplate(documents([]), "source", "text", sources=True)) == []
+
+
+def test_sources_of_few_texts_lose_shared_lines_but_no_copies(documents):
+    own = [[f"line {i} {k} of its own" for k in range(4)] for i in range(40)]
+    rows = [(i, "\n".join(["header", *own[i]]), "en", "two") for i in range(2)]
+    rows += [(10 + i, "\n".join(["header", *own[i], "footer"]), "en", "four") for i in range(4)]
+    # copies of a text with one line changed; the line that a third text shares with them is boilerplate
+    copies = [[*own[5][:3], f"changed {i}", "subscribe"] for i in range(2)]
+    rows += [(20 + i, "\n".join(x), "en", "copies") for i, x in enumerate([*copies, [*own[6], "subscribe"]])]
+    rows += [(30 + i, "\n".join([*own[7], f"changed {i}"]), "en", "only copies") for i in range(3)]
+    # a line of four texts is above the ratio among 39 texts, not among 40
+    rows += [(100 + i, "\n".join([*own[i], *["note"] * (i < 4)]), "en", "39") for i in range(39)]
+    rows += [(200 + i, "\n".join([*own[i], *["note"] * (i < 4)]), "en", "40") for i in range(40)]
+    rows += [(300, "one\ntext", "en", "one"), (301, "one\ntext", "en", "one")]
+    found = collected(boilerplate.without_boilerplate(documents(rows), "source", "text", sources=True), "doc_id")
+    gone = {"two": {"header"}, "four": {"header", "footer"}, "copies": {"subscribe"}, "39": {"note"}}
+    before = {r[0]: r[1].split("\n") for r in rows}
+    assert len(found) == len(rows)
+    for r in found:
+        assert r["text"].split("\n") == [x for x in before[r["doc_id"]] if x not in gone.get(r["source"], ())], r["doc_id"]
