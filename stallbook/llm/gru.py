@@ -100,14 +100,15 @@ class ByteGru:
         return both @ self.out + self.bias, both, tf, tb
 
     def gradients(self, data: np.ndarray, live: np.ndarray, label: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Mean cross entropy over all bytes, each with its sequence's label, and its gradients."""
+        """Mean cross entropy over all bytes and its gradients; the labels are those of sequences or of bytes."""
         score, both, tf, tb = self.scores(data, live, keep=True)
         p = _softmax(score)
         count = live.sum()
-        at = p[:, np.arange(len(label)), label]
+        place = (*np.indices(data.shape), np.broadcast_to(label, data.shape))
+        at = p[place]
         loss = -(np.log(np.maximum(at, 1e-9)) * live).sum() / count
         d = p
-        d[:, np.arange(len(label)), label] -= 1
+        d[place] -= 1
         d *= live[:, :, None] / count
         width = self.width
         gout = np.einsum("tbw,tbl->wl", both, d, optimize=True)
@@ -125,8 +126,10 @@ def padded(sequences: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(data.T), np.arange(steps)[:, None] < lengths[None, :]
 
 
-def train(sequences: list[bytes], labels: np.ndarray, count: int, width: int, rounds: int, batch: int, seed: int) -> ByteGru:
-    """Adam over shuffled batches; the same input gives the same network."""
+def train(
+    sequences: list[bytes], labels: list[np.ndarray], count: int, width: int, rounds: int, batch: int, seed: int
+) -> ByteGru:
+    """Adam over shuffled batches, with a label for each byte; the same input gives the same network."""
     net, rng = ByteGru.fresh(width, count, seed), np.random.default_rng(seed)
     first = [np.zeros_like(p) for p in net.parts()]
     second = [np.zeros_like(p) for p in net.parts()]
@@ -136,7 +139,10 @@ def train(sequences: list[bytes], labels: np.ndarray, count: int, width: int, ro
         for low in range(0, len(order), batch):
             chosen = order[low : low + batch]
             data, live = padded([sequences[i] for i in chosen])
-            _, grads = net.gradients(data, live, labels[chosen])
+            label = np.zeros(data.shape, np.int64)
+            for column, i in enumerate(chosen):
+                label[: len(labels[i]), column] = labels[i]
+            _, grads = net.gradients(data, live, label)
             step += 1
             rate = 0.02 * (1 - 0.9 * step / total)
             for p, g, m, v in zip(net.parts(), grads, first, second, strict=True):

@@ -1,11 +1,12 @@
 """Language of whole texts by a bidirectional recurrent network over bytes.
 
-The network reads the bytes of each word between two blanks and gives every byte a distribution over the languages; a
-document's distribution is the mean over all its bytes. A word gives the same numbers wherever it stands, so a task
-remembers what it has computed for a word; no byte of a text is left out.
+The network reads a text in windows of several words and gives every byte a distribution over the languages; a
+document's distribution is the mean over all its bytes but blanks. Its state runs on from word to word. A window begins
+and ends at blanks where there are some near, else between two characters, and reads some bytes before and after its
+own, so that each byte is labelled with both sides of it known. No byte of a text is left out.
 
-The network is trained on the driver from a bounded sample: at most SAMPLE_WORDS words of at most about SAMPLE_DOCS
-documents of each language, chosen by hashes.
+The network is trained on the driver from a bounded sample: at most SAMPLE_PIECES runs of words of at most about
+SAMPLE_DOCS documents of each language, chosen by hashes.
 """
 
 from __future__ import annotations
@@ -19,13 +20,18 @@ from pyspark.sql import functions as F
 
 from stallbook.llm.gru import ByteGru, padded, train
 
-SAMPLE_DOCS, SAMPLE_WORDS = 120, 40
-WIDTH, ROUNDS, BATCH, SEED = 8, 3, 256, 20240611
-# Bytes of a word that are read together; longer words are read in pieces.
-PIECE = 32
+SAMPLE_DOCS, SAMPLE_PIECES, PIECE_WORDS = 120, 12, 8
+# A small sample is read more often, so that the network is trained in about STEPS steps at least.
+WIDTH, ROUNDS, STEPS, BATCH, SEED = 8, 4, 240, 64, 20240611
+# Bytes of a window's own, bytes around them that are read too, and how far back a blank is looked for to begin at.
+WINDOW, AROUND, BACK = 96, 16, 16
+# Windows that are read together.
+_TOGETHER = 1024
 UNKNOWN = "und"
-_REMEMBERED = 600_000
 _HASH_RANGE = 1 << 30
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_INNER = (np.arange(256) & 0xC0) == 0x80
+_AS_SPACE = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -33,24 +39,25 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def _sample(documents: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, list[str]]]:
-    """(language, words) of the sampled documents; the counts per language set the share of each."""
+    """(language, runs of words) of the sampled documents; the counts per language set the share of each."""
     usable = documents.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~F.coalesce(held_out(key), F.lit(False)))
     known = {r["lang"]: r["n"] for r in usable.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
     if not known:
         return []
     share = F.create_map(*(F.lit(x) for name, n in known.items() for x in (name, min(1.0, 1.5 * SAMPLE_DOCS / n))))
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(_HASH_RANGE)) / _HASH_RANGE
-    words = F.transform(
-        F.array_distinct(F.split(F.col(text), r"[\x20\x09-\x0D]+")),
-        lambda w: F.struct(F.xxhash64(w).alias("h"), F.substring(w, 1, PIECE).alias("w")),
-    )
     drawn = usable.where(draw < F.element_at(share, F.col(lang))).select(
-        F.col(lang).alias("lang"), draw.alias("draw"), F.xxhash64(F.col(text)).alias("h"),
-        F.slice(F.array_sort(words), 1, SAMPLE_WORDS)["w"].alias("words"),
+        F.col(lang).alias("lang"), draw.alias("draw"), F.xxhash64(F.col(text)).alias("h"), F.split(F.col(text), r"[\x20\x09-\x0D]+").alias("w")
+    )
+    piece = F.transform(
+        F.sequence(F.lit(1), F.size("w"), F.lit(PIECE_WORDS)),
+        lambda i: F.array_join(F.transform(F.slice("w", i, PIECE_WORDS), lambda w: F.substring(w, 1, WINDOW)), " "),
     )
+    pieces = F.transform(F.array_distinct(piece), lambda p: F.struct(F.xxhash64(p).alias("h"), F.substring(p, 1, WINDOW).alias("p")))
     best = Window.partitionBy("lang").orderBy("draw", "h")
-    rows = drawn.withColumn("n", F.row_number().over(best)).where(F.col("n") <= SAMPLE_DOCS).collect()
-    return [(r["lang"], r["words"]) for r in sorted(rows, key=lambda r: (r["lang"], r["n"]))]
+    rows = drawn.select("lang", "draw", "h", F.slice(F.array_sort(pieces), 1, SAMPLE_PIECES)["p"].alias("pieces"))
+    rows = rows.withColumn("n", F.row_number().over(best)).where(F.col("n") <= SAMPLE_DOCS).collect()
+    return [(r["lang"], r["pieces"]) for r in sorted(rows, key=lambda r: (r["lang"], r["n"]))]
 
 
 def _framed(piece: bytes) -> bytes:
@@ -61,68 +68,97 @@ def fitted(documents: DataFrame, key: str = "doc_id", text: str = "text", lang:
     """The languages in order and the trained network; none without a labelled document that is not held out."""
     sample = _sample(documents, key, text, lang)
     langs = sorted({name for name, _ in sample})
-    sequences = [(_framed(w.encode()[:PIECE]), langs.index(name)) for name, words in sample for w in words if w]
-    if not sequences:
+    pieces = [(p.encode(), langs.index(name)) for name, found in sample for p in found if p.strip()]
+    if not pieces:
         return langs, None
-    labels = np.array([n for _, n in sequences])
-    return langs, train([s for s, _ in sequences], labels, len(langs), WIDTH, ROUNDS, BATCH, SEED)
+    sequences, labels = _sequences(pieces)
+    rounds = max(ROUNDS, -(-STEPS * BATCH // len(sequences)))
+    return langs, train(sequences, labels, len(langs), WIDTH, min(rounds, STEPS), BATCH, SEED)
+
 
+def _sequences(pieces: list[tuple[bytes, int]]) -> tuple[list[bytes], list[np.ndarray]]:
+    """Sequences to learn from and the labels of their bytes.
 
-class WordScores:
-    """For each distinct word the sum of its bytes' distributions, and last the number of its bytes."""
+    Half of the pieces stand alone, the others in random pairs: from these the network learns that the language may change
+    within a text, so that its state does not cling to what it has read before.
+    """
+    order = np.random.default_rng(SEED).permutation(len(pieces))
+    half = len(order) // 4 * 2
+    groups = [order[i : i + 2] for i in range(0, half, 2)] + [order[i : i + 1] for i in range(half, len(order))]
+    sequences = [_framed(b" ".join(pieces[i][0] for i in group)) for group in groups]
+    labels = [np.concatenate([np.full(len(pieces[i][0]) + 1, pieces[i][1]) for i in group]) for group in groups]
+    return sequences, [np.append(x, x[-1]) for x in labels]
+
+
+def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts with a blank between any two, the borders of the windows' own bytes, and the text of each window."""
+    data = np.frombuffer(_framed(b" ".join(texts)).translate(_AS_SPACE), np.uint8)
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    first = 1 + np.concatenate([[0], np.cumsum(lengths + 1)[:-1]]).astype(np.int64)
+    count = np.maximum(-(-lengths // WINDOW), 1)
+    text = np.repeat(np.arange(len(texts)), count)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    low = first[text] + place * WINDOW
+    later = place > 0
+    low[later] = _begun(data, low[later])
+    high = np.append(low[1:], 0)
+    last = np.append(text[1:] != text[:-1], True)
+    high[last] = (first + lengths)[text[last]]
+    return data, np.stack([low, high]), text
+
+
+def _begun(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each place moved back to just after a blank, or, without one among the last BACK bytes, to the start of its character."""
+    before = data[at[:, None] - 1 - np.arange(BACK)]
+    blank = _BLANK[before]
+    whole = at - np.argmin(_INNER[data[at[:, None] - np.arange(4)]], axis=1)
+    return np.where(blank.any(axis=1), at - blank.argmax(axis=1), whole)
+
+
+class TextScores:
+    """Distributions of the bytes of texts, by windows."""
 
     def __init__(self, net: ByteGru, labels: int):
         self.net, self.labels = net, labels
-        self.rows: dict[bytes, int] = {}
-        self.table = np.zeros((1 << 16, labels + 1))
-        self.used = 0
-
-    def _room(self, more: int) -> None:
-        if self.used + more > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros((max(more, len(self.table)), self.labels + 1))])
-
-    def _learn(self, words: list[bytes]) -> None:
-        if self.used > _REMEMBERED:
-            self.rows.clear()
-            self.used = 0
-        self._room(len(words))
-        pieces, owner = [], []
-        for n, word in enumerate(words):
-            self.rows[word] = self.used + n
-            for low in range(0, len(word), PIECE):
-                pieces.append(word[low : low + PIECE])
-                owner.append(self.used + n)
-        self.table[self.used : self.used + len(words)] = 0
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-        for low in range(0, len(order), 2048):
-            part = order[low : low + 2048]
-            data, live = padded([_framed(pieces[i]) for i in part])
-            score = self.net.scores(data, live)[0]
+
+    def parts(self, texts: list[bytes]):
+        """(text of each window, first of its places, distributions, which are its own and no blank), some windows at a time.
+
+        Distributions are (steps, windows, labels); places count in the texts with a blank between any two.
+        """
+        data, (low, high), text = windows(texts)
+        lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        first = 1 + np.concatenate([[0], np.cumsum(lengths + 1)[:-1]]).astype(np.int64)
+        # the blanks at both ends of a text are read with it
+        begin = np.maximum(low - AROUND, first[text] - 1)
+        end = np.minimum(high + AROUND, (first + lengths)[text] + 1)
+        order = np.argsort(end - begin, kind="stable")
+        for at in range(0, len(order), _TOGETHER):
+            part = order[at : at + _TOGETHER]
+            place = begin[part] + np.arange(int((end - begin)[part[-1]]))[:, None]
+            live = place < end[part]
+            read = np.where(live, data[np.minimum(place, len(data) - 1)], 0)
+            score = self.net.scores(read, live)[0]
             score = np.exp(score - score.max(axis=2, keepdims=True))
             score /= score.sum(axis=2, keepdims=True)
-            inside = live.copy()
-            inside[0] = False
-            inside[np.array([len(pieces[i]) + 1 for i in part]), np.arange(len(part))] = False
-            sums = np.einsum("tbl,tb->bl", score, inside)
-            np.add.at(self.table, np.array([owner[i] for i in part]), np.column_stack([sums, inside.sum(axis=0)]))
-        self.used += len(words)
+            own = (place >= low[part]) & (place < high[part]) & ~_BLANK[read]
+            yield text[part], begin[part], score, own
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """The mean distribution of each text; zeros for a text without words."""
-        result = np.zeros((len(texts), self.labels))
-        split = [t.split() for t in texts]
-        fresh = {w for words in split for w in words if w not in self.rows}
-        if fresh:
-            if self.used + len(fresh) > _REMEMBERED:
-                fresh = {w for words in split for w in words}
-                self.rows.clear()
-                self.used = 0
-            self._learn(sorted(fresh))
-        for i, words in enumerate(split):
-            if words:
-                total = self.table[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))].sum(axis=0)
-                result[i] = total[:-1] / total[-1]
-        return result
+        total = np.zeros((len(texts), self.labels + 1))
+        for text, _, score, own in self.parts(texts):
+            sums = np.einsum("tbl,tb->bl", score, own.astype(score.dtype)).astype(np.float64)
+            np.add.at(total, text, np.column_stack([sums, own.sum(axis=0)]))
+        return total[:, :-1] / np.maximum(total[:, -1:], 1)
+
+    def positions(self, text: bytes) -> np.ndarray:
+        """The most probable label of each byte; -1 for blanks."""
+        result = np.full(len(text) + 2, -1)
+        for _, begin, score, own in self.parts([text]):
+            step, window = np.nonzero(own)
+            result[begin[window] + step] = score[step, window].argmax(axis=1)
+        return result[1:-1]
 
 
 def labelled(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -136,7 +172,7 @@ def labelled(documents: DataFrame, key: str = "doc_id", text: str = "text", lang
     langs, net = fitted(with_key, key, text, lang)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = WordScores(net, len(langs)) if net else None
+        scores = TextScores(net, len(langs)) if net else None
         for batch in batches:
             column = batch.column(2).cast(pa.large_binary())
             low = 0
@@ -153,7 +189,8 @@ def labelled(documents: DataFrame, key: str = "doc_id", text: str = "text", lang
                     pooled = scores.pooled([t if u else b"" for t, u in zip(texts, usable, strict=True)])
                     first = pooled.argmax(axis=1)
                     names[usable] = np.array(langs, object)[first[usable]]
-                    best[usable] = np.clip(pooled.max(axis=1)[usable], 0.0, 1.0)
+                    # how windows lie together may change the last digits of a float
+                    best[usable] = np.clip(np.round(pooled.max(axis=1)[usable], 5), 0.0, 1.0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(names, pa.string()), pa.array(best)],
                     ["doc_id", "held_out", "lang_pred", "score"],

@@ -48,21 +48,58 @@ def test_padding_changes_nothing():
     assert np.allclose(alone, beside, atol=1e-6)
 
 
-def test_remembered_words_pool_like_whole_texts():
+def test_windows_hold_each_byte_once_and_cut_no_character():
+    texts = [b"", b"ab cde " * 200, ("żółw" * 300).encode(), b"x" * 1000, b" \t\n" * 90, "日本 語".encode() * 100, b"a"]
+    data, (low, high), text = langid.windows(texts)
+    for i, t in enumerate(texts):
+        mine = np.flatnonzero(text == i)
+        own = [bytes(data[a:b]) for a, b in zip(low[mine], high[mine], strict=True)]
+        assert b"".join(own) == t.translate(langid._AS_SPACE)
+        for piece in own:
+            piece.decode()
+            assert len(piece) <= langid.WINDOW + langid.BACK
+        if i == 1:
+            assert all(piece.endswith(b" ") for piece in own)
+
+
+def test_windows_pool_like_bytes_read_one_window_after_another():
     net = gru.ByteGru.fresh(4, 3, 2)
-    scores = langid.WordScores(net, 3)
-    texts = [b"ab cde ab", b"", b"x" * 100 + b" cde", b"ab"]
-    for got, text in zip(scores.pooled(texts + texts)[4:], texts, strict=True):
+    scores = langid.TextScores(net, 3)
+    texts = [b"ab cde\tab", b"", b"x" * 400 + b" cde", b"ab", b" \n ", "żó łw ".encode() * 70]
+    for got, text in zip(scores.pooled(texts), texts, strict=True):
         total, count = np.zeros(3), 0
-        for word in text.split():
-            for low in range(0, len(word), langid.PIECE):
-                piece = word[low : low + langid.PIECE]
-                s = net.scores(*gru.padded([b" " + piece + b" "]))[0][1 : len(piece) + 1, 0]
-                p = np.exp(s) / np.exp(s).sum(axis=1, keepdims=True)
-                total, count = total + p.sum(axis=0), count + len(piece)
+        framed = b" " + text.translate(langid._AS_SPACE) + b" "
+        for low, high in langid.windows([text])[1].T:
+            begin, end = max(low - langid.AROUND, 0), min(high + langid.AROUND, len(framed))
+            s = net.scores(*gru.padded([framed[begin:end]]))[0][:, 0]
+            p = np.exp(s) / np.exp(s).sum(axis=1, keepdims=True)
+            for place in range(low, high):
+                if framed[place] != 32:
+                    total, count = total + p[place - begin], count + 1
         assert np.allclose(got, total / max(count, 1), atol=1e-5)
 
 
+def test_state_runs_on_over_blanks():
+    net = gru.ByteGru.fresh(4, 3, 2)
+    scores = langid.TextScores(net, 3)
+    same = [np.concatenate([s[own] for _, _, s, own in scores.parts([text])])[-2:] for text in (b"abc de", b"xyz de")]
+    assert not np.allclose(*same, atol=1e-6)
+
+
+def test_positions_of_mixed_texts(documents):
+    rows = corpus()
+    langs, net = langid.fitted(documents(rows))
+    scores = langid.TextScores(net, len(langs))
+    held = {name: next(t for i, t, lang, _ in rows if lang == name and zlib.crc32(str(i).encode()) % 3 == 1) for name in SYLLABLES}
+    text = "\n".join(held[name] for name in langs)
+    found, low = scores.positions(text.encode()), 0
+    for n, name in enumerate(langs):
+        size = len(held[name].encode())
+        part = found[low : low + size]
+        assert np.mean(part[part >= 0] == n) > 0.9
+        low += size + 1
+
+
 def test_learns_from_the_rest_and_labels_what_is_held_out(documents):
     rows = corpus()
     found = {r["doc_id"]: r for r in collected(langid.labelled(documents(rows)))}
