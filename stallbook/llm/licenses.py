@@ -44,28 +44,43 @@ class Templates:
         """(first bigram, last bigram, dice) of the passages of one template, from left to right, not overlapping.
 
         at: positions of the template's bigrams, ids: which they are; every: all bigrams; stop: for each position the
-        end of its row. Of the passages from the first starting point that reaches the threshold the best
-        is taken, of equal ones the longest.
+        end of its row. The first starting point that reaches the threshold opens a passage; of all passages that begin
+        within it the best is taken, of equal ones that which begins first, and of these the longest.
         """
         last = np.minimum(np.searchsorted(at, at + self.most[template]), np.searchsorted(at, stop))
+        hits = np.minimum(last - np.arange(len(at)), self.sizes[template])
+        # more than this no passage from a starting point can reach
+        bound = 2 * hits / (hits + self.sizes[template])
         done = -1
-        for i in np.flatnonzero(last - np.arange(len(at)) >= self.least[template]):
+        for i in np.flatnonzero(hits >= self.least[template]):
             if at[i] <= done:
                 continue
-            window = every[at[i] : at[last[i] - 1] + 1]
-            _, first_seen = np.unique(window, return_index=True)
-            fresh = np.zeros(len(window), dtype=np.int64)
-            fresh[first_seen] = 1
-            distinct = np.cumsum(fresh)
-            ends = at[i : last[i]] - at[i]
-            _, first_hit = np.unique(ids[i : last[i]], return_index=True)
-            fresh = np.zeros(len(ends), dtype=np.int64)
-            fresh[first_hit] = 1
-            dice = 2 * np.cumsum(fresh) / (distinct[ends] + self.sizes[template])
-            best = len(dice) - 1 - int(np.argmax(dice[::-1]))
-            if dice[best] >= self.threshold - 1e-12:
-                done = at[i] + ends[best]
-                yield int(at[i]), int(done), float(dice[best])
+            dice, end = self._best_from(template, slice(i, last[i]), at, ids, every)
+            if dice < self.threshold - 1e-12:
+                continue
+            first, within = i, np.searchsorted(at, end, "right")
+            for k in range(i + 1, within):
+                if bound[k] > dice + 1e-12:
+                    other, its_end = self._best_from(template, slice(k, last[k]), at, ids, every)
+                    if other > dice + 1e-12:
+                        first, dice, end = k, other, its_end
+            done = end
+            yield int(at[first]), end, dice
+
+    def _best_from(self, template: int, reach: slice, at: np.ndarray, ids: np.ndarray, every: np.ndarray) -> tuple[float, int]:
+        """The highest Dice coefficient of the passages that begin at the first hit of the reach, and where the longest ends."""
+        window = every[at[reach.start] : at[reach.stop - 1] + 1]
+        ends = at[reach] - at[reach.start]
+        dice = 2 * _distinct(ids[reach]) / (_distinct(window)[ends] + self.sizes[template])
+        best = len(dice) - 1 - int(np.argmax(dice[::-1]))
+        return float(dice[best]), int(at[reach.start] + ends[best])
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """How many distinct values there are up to each place."""
+    fresh = np.zeros(len(values), dtype=np.int64)
+    fresh[np.unique(values, return_index=True)[1]] = 1
+    return np.cumsum(fresh)
 
 
 def scanned(
