@@ -78,6 +78,8 @@ def candidates(documents: DataFrame, rules: tuple[Rule, ...], text: str, identit
     return full.where("n = grams").groupBy(*identity).agg(F.collect_set("rule").alias("rules"))
 
 
+# Matches of a text that are put together in one array; such arrays are then joined, as an append copies its array.
+_TOGETHER = 256
 _SPAN = "array<struct<start: int, rank: int, end: int, kind: string>>"
 
 
@@ -92,8 +94,9 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
 
     def located(parts: Column) -> Column:
         zipped = F.arrays_zip(parts["found"], parts["value"], F.slice(parts["between"], 1, F.size(parts["found"])))
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+        return F.element_at(F.transform(F.array(zipped), placed), 1)
 
+    def placed(items: Column) -> Column:
         def step(state: Column, item: Column) -> Column:
             start = state["at"] + F.length(item["2"])
             end = start + F.length(item["found"])
@@ -101,7 +104,16 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
             good = F.length(item["value"]) >= rule.least
             return F.struct(end.alias("at"), F.when(good, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
-        return F.aggregate(zipped, empty, step)["spans"]
+        def begun(at: Column) -> Column:
+            return F.struct(at.alias("at"), F.array().cast(_SPAN).alias("spans"))
+
+        def later(states: Column, k: Column) -> Column:
+            some = F.slice(items, k * _TOGETHER + 1, _TOGETHER)
+            return F.array_append(states, F.aggregate(some, begun(F.element_at(states, -1)["at"]), step))
+
+        numbers = F.sequence(F.lit(0), F.floor(F.size(items) / _TOGETHER).cast("int"))
+        states = F.aggregate(numbers, F.array(begun(F.lit(0))), later)
+        return F.flatten(F.transform(states, lambda state: state["spans"]))
 
     return F.element_at(F.transform(F.array(once), located), 1)
 

@@ -71,3 +71,13 @@ def test_awkward_rows_and_empty_table(documents):
     found = collected(secrets.digested(secrets.scanned(documents(awkward()))))
     assert len(found) == 10 and all(r["spans"] == "" for r in found)
     assert collected(secrets.scanned(documents([]))) == []
+
+
+def test_texts_of_many_matches(documents):
+    rng, counts = random.Random(8), (255, 256, 257, 511, 512, 513, 1300)
+    texts = [(n, "é ".join(f"AKIA{'X' * rng.randint(8, 16)}" + rng.choice(["", " \U0001f511", "\n"]) for _ in range(n))) for n in counts]
+    rule = secrets.RULES[1]
+    found = {r["doc_id"]: r["spans"] for r in collected(secrets.scanned(documents(texts), rules=(rule,)))}
+    for n, text in texts:
+        expected = [m.span() for m in re.finditer(rule.pattern, text) if len(m[0]) >= rule.least]
+        assert [(s["start"], s["end"]) for s in found[n]] == expected and 0 < len(expected) < n
