@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import joined
 from ..plans.staging import stage
+from .itemsets import vertical_rules
 
 
 def baskets(sales: DataFrame, by: str = "user_id", item: str = "name") -> DataFrame:
@@ -28,25 +26,12 @@ def association_rules(
 ) -> DataFrame:
     """Rules with confidence, lift and support; item lists as text.
 
-    Runs jobs: baskets are staged and mined with parallel FP-growth, over as
-    many partitions as the staged baskets have unless told otherwise.
+    Runs jobs: baskets are numbered, staged and mined by bitmaps, so no task holds
+    a tree of the baskets; candidates are counted in as many partitions as Spark
+    chooses unless told otherwise. An empty basket counts as one, a null basket
+    does not; repeated items count once, null items are none.
     """
-    miner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    if partitions is not None:
-        miner = miner.setNumPartitions(partitions)
-    model = miner.fit(stage(groups.select("items"), "baskets"))
-    # rule generation reads the itemsets several times and would mine them each time
-    itemsets = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return stage(
-            model.associationRules.select(
-                joined("antecedent").alias("antecedent"),
-                joined("consequent").alias("consequent"),
-                "confidence",
-                "lift",
-                "support",
-            ),
-            "rules",
-        )
-    finally:
-        itemsets.unpersist()
+    held = groups.where(F.col("items").isNotNull())
+    held = stage(held.select(F.monotonically_increasing_id().alias("basket"), "items"), "baskets")
+    rows = held.select("basket", F.explode_outer("items").alias("item"))
+    return vertical_rules(rows, "basket", "item", min_support, min_confidence, partitions=partitions)

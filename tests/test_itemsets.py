@@ -4,6 +4,7 @@ import math
 from itertools import combinations
 
 import pytest
+from pyspark.ml.fpm import FPGrowth
 
 from stallbook.operators import basket, itemsets
 
@@ -63,3 +64,24 @@ def test_nulls_and_empty_table(spark):
     sets, groups = itemsets.frequent_itemsets(rows, "user_id", "name", 0.3)
     assert groups == 3 and found(sets) == {("a",): 2, ("b",): 1, ("a", "b"): 1}
     assert itemsets.vertical_rules(rows.limit(0)).count() == 0
+
+
+def test_rules_of_baskets_grow_no_trees(spark, monkeypatch):
+    baskets = spark.createDataFrame(
+        [(sorted(items),) for items in GROUPS.values()] + [([],), ([],), (None,)], "items array<string>"
+    ).repartition(5)
+    model = FPGrowth(itemsCol="items", minSupport=0.1, minConfidence=0.3).fit(baskets)
+    expected = {
+        (", ".join(sorted(r["antecedent"])), r["consequent"][0]): (r["confidence"], r["lift"], r["support"])
+        for r in model.associationRules.collect()
+    }
+    monkeypatch.setattr(FPGrowth, "fit", lambda *_: pytest.fail("a tree of the baskets in every task"))
+    for partitions in (None, 3):
+        rules = basket.association_rules(baskets, 0.1, 0.3, partitions).collect()
+        assert {(r[0], r[1]): tuple(r[2:]) for r in rules} == {k: pytest.approx(v) for k, v in expected.items()} != {}
+
+
+def test_candidates_in_parts_and_ranges_add_up(spark, monkeypatch):
+    monkeypatch.setattr(itemsets, "_CANDIDATES", 3)
+    sets, _ = itemsets.frequent_itemsets(shopping(spark, GROUPS), "user_id", "name", 0.05, 8)
+    assert found(sets) == plain(GROUPS, 0.05)
