@@ -74,3 +74,17 @@ def test_the_ranking_window_is_partitioned(spark, name):
         if re.search(r"Window \[.*row_number", line):
             assert "_range" in line.split("], [")[-2]
     assert text.count("Exchange SinglePartition") <= 1
+
+
+def test_a_task_gets_a_bounded_part_of_a_shuffle(spark):
+    """What a task sorts and aggregates follows from the bytes it reads; cores must not matter here."""
+    first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    spark.conf.set(first, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = spark.range(3_000_000).selectExpr("id", "rand(1) AS x", "rand(2) AS y")
+        parts = rows.repartition("id").groupBy("id").agg({"x": "max", "y": "max"}).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset(first)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert parts >= 3
