@@ -138,9 +138,7 @@ class TextScores:
             place = begin[part] + np.arange(int((end - begin)[part[-1]]))[:, None]
             live = place < end[part]
             read = np.where(live, data[np.minimum(place, len(data) - 1)], 0)
-            score = self.net.scores(read, live)[0]
-            score = np.exp(score - score.max(axis=2, keepdims=True))
-            score /= score.sum(axis=2, keepdims=True)
+            score = np.moveaxis(self.net.distributions(read, live), 0, 2)
             own = (place >= low[part]) & (place < high[part]) & ~_BLANK[read]
             yield text[part], begin[part], score, own
 

@@ -48,6 +48,16 @@ def test_padding_changes_nothing():
     assert np.allclose(alone, beside, atol=1e-6)
 
 
+def test_distributions_are_those_of_the_scores():
+    net = gru.ByteGru.fresh(4, 3, 2)
+    net.bias = np.array([0.5, 0, -1], np.float32)
+    data, live = gru.padded([b"abc", b"", b"hello there", "żół".encode()])
+    score = net.scores(data, live)[0]
+    expected = np.exp(score) / np.exp(score).sum(axis=2, keepdims=True)
+    found = net.distributions(data, live)
+    assert found.shape == (3, *data.shape) and np.allclose(np.moveaxis(found, 0, 2), expected, atol=1e-6)
+
+
 def test_windows_hold_each_byte_once_and_cut_no_character():
     texts = [b"", b"ab cde " * 200, ("żółw" * 300).encode(), b"x" * 1000, b" \t\n" * 90, "日本 語".encode() * 100, b"a"]
     data, (low, high), text = langid.windows(texts)
